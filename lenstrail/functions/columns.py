@@ -25,8 +25,22 @@ from lenstrail.config import (
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; NULL when none does, with ANSI mode on or off."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """First format that parses wins; NULL when none does, with ANSI mode on or off.
+
+    A failed attempt is expensive (it raises inside the parser), so a format that opens
+    with a month name is not tried on a digit, nor one that opens with a number on a letter.
+    """
+    first = F.ascii(text)
+    digit = first.between(48, 57)
+    letter = first.between(65, 90) | first.between(97, 122)
+
+    def attempt(pattern: str) -> Column:
+        parsed = F.try_to_timestamp(text, F.lit(pattern))
+        if pattern.startswith("MMM"):
+            return F.when(~digit, parsed)
+        return F.when(~letter, parsed) if pattern[0] in "yMdHh" else parsed
+
+    return F.coalesce(*[attempt(p) for p in formats])
 
 
 def in_box(box: Box = CITY_BOX, lat: str = "latitude", lon: str = "longitude") -> Column:

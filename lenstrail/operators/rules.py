@@ -19,7 +19,7 @@ def user_transactions(df: DataFrame, *, min_year: int = FIRST_REAL_YEAR) -> Data
     return (
         df.filter(is_known_roi() & from_year(min_year))
         .groupBy("user_id")
-        .agg(F.array_sort(F.collect_set("roi")).alias("items"))
+        .agg(F.sort_array(F.collect_set("roi")).alias("items"))
     )
 
 
@@ -32,7 +32,7 @@ def mine(tx: DataFrame, min_support: float = 0.01, min_confidence: float = 0.05)
 def frequent_itemsets(tx: DataFrame, min_support: float = 0.01) -> DataFrame:
     """(items, freq) for all sets in at least `min_support` of the transactions."""
     found = mine(tx, min_support).freqItemsets
-    return found.select(F.array_sort("items").alias("items"), "freq")
+    return found.select(F.sort_array("items").alias("items"), "freq")
 
 
 def top_itemsets(itemsets: DataFrame, n: int = 10) -> DataFrame:
@@ -42,7 +42,7 @@ def top_itemsets(itemsets: DataFrame, n: int = 10) -> DataFrame:
 def association_rules(tx: DataFrame, min_support: float = 0.01, min_confidence: float = 0.05) -> DataFrame:
     """(antecedent, consequent, confidence, lift, support); antecedents are sorted."""
     return mine(tx, min_support, min_confidence).associationRules.withColumn(
-        "antecedent", F.array_sort("antecedent")
+        "antecedent", F.sort_array("antecedent")
     )
 
 
@@ -69,7 +69,7 @@ def flow_links(rules: DataFrame, *, min_confidence: float = 0.20, n: int = 20) -
     return (
         rules.filter(F.col("confidence") >= min_confidence)
         .groupBy(
-            F.array_sort("antecedent")[0].alias("source"),
+            F.sort_array("antecedent")[0].alias("source"),
             F.col("consequent")[0].alias("target"),
         )
         .agg(

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +22,9 @@ from lenstrail.operators import (
     trends,
     views,
 )
+from lenstrail.plans.stages import raw_json_path, stored
 from lenstrail.sources import raw_json
-from lenstrail.sources.derived_photos import raw_photos
-from lenstrail.sources.tables import cut_lineage, roi_table, shared_folder
+from lenstrail.sources.tables import cut_lineage, roi_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +44,16 @@ def query(fn: Query) -> Query:
 # --- inputs -----------------------------------------------------------------------
 
 
-def photos(spark: SparkSession, folder: str, *, with_tags: bool = False) -> DataFrame:
-    return clean.clean_photos(raw_photos(spark, folder, tags=with_tags))
+def raw_photos(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(spark, folder, "raw")
 
 
-def enriched(spark: SparkSession, folder: str, *, with_tags: bool = False) -> DataFrame:
-    return enrich.enrich_roi(photos(spark, folder, with_tags=with_tags))
+def photos(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(spark, folder, "clean")
+
+
+def enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(spark, folder, "enriched")
 
 
 def timed(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,19 +79,6 @@ def tiled(spark: SparkSession, folder: str) -> DataFrame:
     return enriched(spark, folder).withColumn("cluster", (row * 7 + column).cast("int"))
 
 
-@cache
-def _json_folder(application: str, folder: str) -> str:
-    """Raw records as JSON Lines in the shared folder, written once per session and input."""
-    spark = SparkSession.active()
-    path = f"{shared_folder(spark)}/raw-json-{uuid.uuid4().hex}"
-    raw_photos(spark, folder).write.option("compression", "gzip").json(path)
-    return path
-
-
-def json_path(spark: SparkSession, folder: str) -> str:
-    return _json_folder(spark.sparkContext.applicationId, folder)
-
-
 # --- output shapes ----------------------------------------------------------------
 
 
@@ -116,7 +105,7 @@ def photo_rows(df: DataFrame, *extra: str) -> DataFrame:
         "latitude",
         "longitude",
         F.size("tags").alias("n_tags"),
-        F.md5(F.array_join(F.array_sort("tags"), "|")).alias("tags_md5"),
+        F.md5(F.array_join(F.sort_array("tags"), "|")).alias("tags_md5"),
         *extra,
     )
 
@@ -131,25 +120,25 @@ def rule_rows(df: DataFrame) -> DataFrame:
 
 @query
 def json_layout(spark, folder):
-    files = raw_json.json_layout(spark, json_path(spark, folder))
+    files = raw_json.json_layout(spark, raw_json_path(spark, folder))
     return files.groupBy("layout").agg(F.sum("lines").alias("lines"))
 
 
 @query
 def schema_report(spark, folder):
-    return raw_json.schema_report(spark, json_path(spark, folder))
+    return raw_json.schema_report(spark, raw_json_path(spark, folder))
 
 
 @query
 def json_clean_photos(spark, folder):
-    raw = raw_json.read_raw(spark, json_path(spark, folder), schema=raw_json.raw_schema())
+    raw = raw_json.read_raw(spark, raw_json_path(spark, folder), schema=raw_json.raw_schema())
     return photo_rows(clean.clean_photos(raw))
 
 
 @query
 def alias_resolve(spark, folder):
     """The same photos, with the date under another spelling, and none at all."""
-    raw = raw_photos(spark, folder, tags=False)
+    raw = raw_photos(spark, folder)
     other = raw.withColumnRenamed("dateTaken", DATE_FIELDS[2])
     missing = raw.drop("dateTaken")
     frames = {"other": other, "missing": missing}
@@ -164,23 +153,23 @@ def alias_resolve(spark, folder):
 
 @query
 def clean_photos(spark, folder):
-    return photo_rows(photos(spark, folder, with_tags=True))
+    return photo_rows(clean.clean_photos(raw_photos(spark, folder)))
 
 
 @query
 def clean_report(spark, folder):
-    return rounded(clean.clean_report(raw_photos(spark, folder, tags=False)), "drop_pct")
+    return rounded(clean.clean_report(raw_photos(spark, folder)), "drop_pct")
 
 
 @query
 def geofence_filter(spark, folder):
-    flat = clean.flatten(raw_photos(spark, folder, tags=False))
+    flat = clean.flatten(raw_photos(spark, folder))
     return clean.geofence(flat).select("photo_id", "latitude", "longitude")
 
 
 @query
 def timestamp_parse(spark, folder):
-    return raw_photos(spark, folder, tags=False).select(
+    return raw_photos(spark, folder).select(
         F.col("id").alias("photo_id"), parse_timestamp(F.col("dateTaken")).alias("timestamp")
     ).select("photo_id", text_time("timestamp"))
 
@@ -317,12 +306,12 @@ def local_spots(spark, folder):
 
 @query
 def roi_tags(spark, folder):
-    return tags.roi_tags(enriched(spark, folder, with_tags=True))
+    return tags.roi_tags(enriched(spark, folder))
 
 
 @query
 def roi_word_weights(spark, folder):
-    counts = tags.roi_word_counts(enriched(spark, folder, with_tags=True))
+    counts = tags.roi_word_counts(enriched(spark, folder))
     return rounded(tags.roi_word_weights(counts), "share")
 
 

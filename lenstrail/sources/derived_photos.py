@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lenstrail.config import CITY_BOX, ROIS
+from lenstrail.sources.tables import spread
 
 _BOXES = [roi[1:] for roi in ROIS] + [CITY_BOX, CITY_BOX]
 
@@ -30,9 +31,10 @@ def _coordinate(low: int, high: int, step: Column, outside: int) -> Column:
     return F.when(slot == 11, broken).otherwise(inside) / 1_000_000.0
 
 
-def raw_photos(spark: SparkSession, folder: str, *, tags: bool = True) -> DataFrame:
-    """Nested raw records of all events; with `tags=False` the documents are not read."""
-    events = spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+def derive_photos(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested raw records, one per event."""
+    events = spread(spark.read.parquet(f"{folder}/events.parquet"))
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     event, user = F.col("event_id"), F.col("user_id")
     cohort = user % 3
     shifted = F.timestamp_add("DAY", -(event % 5800).cast("int"), F.col("ts"))
@@ -49,17 +51,13 @@ def raw_photos(spark: SparkSession, folder: str, *, tags: bool = True) -> DataFr
         .when(event % 2 == 0, F.date_format(taken, "yyyy-MM-dd HH:mm:ss"))
         .otherwise(F.date_format(taken, "MMM d, yyyy h:mm:ss a"))
     )
-    if tags:
-        documents = spark.read.parquet(f"{folder}/documents.parquet")
-        words = documents.select("doc_id", F.array_distinct(F.split("text", " ")).alias("words"))
-        doc_count = documents.agg(F.count("*")).scalar()
-        events = events.withColumn("doc_id", event % doc_count).join(words, "doc_id", "left")
-        own = F.concat(
-            F.coalesce("words", F.array().cast("array<string>")), F.array(F.lit("Rome"), F.upper("event_type"))
-        )
-        values = F.when(event % 17 == 0, None).when(event % 13 == 0, F.array().cast("array<string>")).otherwise(own)
-    else:
-        values = F.lit(None).cast("array<string>")
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    words = documents.select("doc_id", F.array_distinct(F.split("text", " ")).alias("words"))
+    doc_count = documents.agg(F.count("*")).scalar()
+    events = events.withColumn("doc_id", event % doc_count).join(words, "doc_id", "left")
+    no_words = F.array().cast("array<string>")
+    own = F.concat(F.coalesce("words", no_words), F.array(F.lit("Rome"), F.upper("event_type")))
+    values = F.when(event % 17 == 0, None).when(event % 13 == 0, no_words).otherwise(own)
     return events.select(
         event.cast("string").alias("id"),
         F.struct(owner.alias("id")).alias("owner"),

@@ -55,6 +55,12 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors see; a local one only where the cluster names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
