@@ -93,7 +93,7 @@ def label_points(points: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _hull_steps():
-    """The two grouped-map steps of the hull.  Local functions travel to the executors by
+    """The two Python steps of the hull.  Local functions travel to the executors by
     value, so those need no copy of this package."""
 
     def hull(points: np.ndarray) -> np.ndarray:
@@ -115,12 +115,20 @@ def _hull_steps():
 
         return np.array(chain(ordered) + chain(ordered[::-1]))
 
-    def piece_hull(pdf: pd.DataFrame) -> pd.DataFrame:
-        both = np.concatenate([pdf[["lon", "low"]].to_numpy(), pdf[["lon", "high"]].to_numpy()])
-        out = pd.DataFrame(hull(both), columns=["lon", "lat"])
-        out.insert(0, "cluster", pdf["cluster"].iloc[0])
-        out["n"] = np.where(out.index == 0, pdf["n"].sum(), 0)
-        return out
+    def task_hulls(batches):
+        """Hull and row count per cluster of one task's rows, held as vertices only."""
+        hulls: dict = {}
+        rows: dict = {}
+        for pdf in batches:
+            for key, group in pdf.groupby("cluster"):
+                ends = [group[["lon", "low"]].to_numpy(), group[["lon", "high"]].to_numpy()]
+                hulls[key] = hull(np.concatenate([*ends, hulls.get(key, np.empty((0, 2)))]))
+                rows[key] = rows.get(key, 0) + group["n"].sum()
+        for key, vertices in hulls.items():
+            out = pd.DataFrame(vertices, columns=["lon", "lat"])
+            out.insert(0, "cluster", key)
+            out["n"] = np.where(out.index == 0, rows[key], 0)
+            yield out
 
     def whole_hull(pdf: pd.DataFrame) -> pd.DataFrame:
         vertices = hull(pdf[["lon", "lat"]].to_numpy())
@@ -131,28 +139,26 @@ def _hull_steps():
         out.insert(0, "cluster", pdf["cluster"].iloc[0])
         return out
 
-    return piece_hull, whole_hull
+    return task_hulls, whole_hull
 
 
-def cluster_hulls(clustered: DataFrame, *, parts: int = 64) -> DataFrame:
+def cluster_hulls(clustered: DataFrame) -> DataFrame:
     """Hull vertices (cluster, idx, lon, lat) of every cluster with an area and 4 or more points.
 
     All points count, not a sample.  Only the lowest and highest point of each longitude
-    can be a vertex, which Spark finds with a mergeable aggregation.  Those points are
-    hashed into `parts` pieces per cluster; a cluster's hull is the hull of the pieces'
-    hulls, so the last step sees vertices only.
+    can be a vertex, which Spark finds with a mergeable aggregation, spread over all tasks
+    even for one large cluster.  Each task then reduces its share to hulls, and a
+    cluster's hull is the hull of those, so the last step sees vertices only.
     """
     ends = (
-        clustered.dropna(subset=["latitude", "longitude"])
+        clustered.dropna(subset=["cluster", "latitude", "longitude"])
         .groupBy("cluster", F.col("longitude").alias("lon"))
         .agg(F.min("latitude").alias("low"), F.max("latitude").alias("high"), F.count("*").alias("n"))
     )
-
-    piece_hull, whole_hull = _hull_steps()
+    task_hulls, whole_hull = _hull_steps()
     key = clustered.schema["cluster"].dataType.simpleString()
     return (
-        ends.groupBy("cluster", F.pmod(F.xxhash64("lon"), F.lit(parts)).alias("part"))
-        .applyInPandas(piece_hull, f"cluster {key}, lon double, lat double, n bigint")
+        ends.mapInPandas(task_hulls, f"cluster {key}, lon double, lat double, n bigint")
         .groupBy("cluster")
         .applyInPandas(whole_hull, f"cluster {key}, idx int, lon double, lat double")
     )

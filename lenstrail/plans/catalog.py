@@ -91,6 +91,11 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def rounded_means(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of micro-degrees often end in an exact half; nudge those so all engines agree."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-10, 6) for c in columns})
+
+
 def joined(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.array_join(c, "|") for c in columns})
 
@@ -393,17 +398,17 @@ def hexbin_density(spark, folder):
 
 @query
 def roi_centres(spark, folder):
-    return rounded(density.roi_centres(density.map_points(enriched(spark, folder))), "lat", "lon")
+    return rounded_means(density.roi_centres(density.map_points(enriched(spark, folder))), "lat", "lon")
 
 
 @query
 def top_label_centres(spark, folder):
-    return rounded(density.roi_centres(density.map_points(enriched(spark, folder)), top=50), "lat", "lon")
+    return rounded_means(density.roi_centres(density.map_points(enriched(spark, folder)), top=50), "lat", "lon")
 
 
 @query
 def view_centre(spark, folder):
-    return rounded(density.view_centre(density.map_points(enriched(spark, folder))), "lat", "lon")
+    return rounded_means(density.view_centre(density.map_points(enriched(spark, folder))), "lat", "lon")
 
 
 @query
@@ -491,7 +496,7 @@ def cluster_sizes(spark, folder):
 
 @query
 def cluster_centres(spark, folder):
-    return rounded(clusters.cluster_centres(tiled(spark, folder)), "lat", "lon")
+    return rounded_means(clusters.cluster_centres(tiled(spark, folder)), "lat", "lon")
 
 
 @query
@@ -502,7 +507,7 @@ def nearest_centre_assign(spark, folder):
 
 @query
 def cluster_labels(spark, folder):
-    return rounded(clusters.cluster_labels(tiled(spark, folder)), "lat", "lon")
+    return rounded_means(clusters.cluster_labels(tiled(spark, folder)), "lat", "lon")
 
 
 @query
