@@ -419,16 +419,19 @@ def map_sample(spark, folder):
 
 @query
 def filtered_map(spark, folder):
-    """The density map under filters, with the user type taken from the profiles."""
-    typed = views.add_user_type(timed(spark, folder), user_table(spark, folder))
+    """Photos under the filters of the map, with the user type taken from the profiles."""
     shown = trends.filter_photos(
-        typed,
+        timed(spark, folder),
         years=["2023", "2024"],
         months=[1, 6, 12],
-        user_types=["Resident", "Tourist"],
         rois=["Colosseo", "Pantheon", "Vaticano"],
     )
-    return shown.groupBy("roi", "year", "month", "user_type").agg(F.count("*").alias("count"))
+    keys = ["roi", "year", "month"]
+    per_user = shown.groupBy("user_id", *keys).agg(F.count("*").alias("n"))
+    typed = trends.filter_photos(
+        views.add_user_type(per_user, user_table(spark, folder)), user_types=["Resident", "Tourist"]
+    )
+    return typed.groupBy(*keys, "user_type").agg(F.sum("n").alias("count"))
 
 
 # --- trends -----------------------------------------------------------------------

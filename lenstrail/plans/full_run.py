@@ -39,7 +39,7 @@ def run_all(
     if photos is None:
         raise ValueError("no valid photo in the input")
     photos = keep("photos_enriched", enrich.enrich_roi(photos, rois))
-    keep("photos_time", enrich.time_features(photos))
+    keep("photos_time", enrich.time_features(photos), partition_by=("year",))
     users = keep("user_profiles", profiles.user_profiles(photos))
     keep("photo_clusters", clusters.kmeans_clusters(photos, k=k))
     keep("user_transactions", rules.user_transactions(photos))

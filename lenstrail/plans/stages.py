@@ -8,7 +8,6 @@ the shared folder, so that later queries scan flat, prunable columns.
 from __future__ import annotations
 
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -31,29 +30,26 @@ def _build(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     raise ValueError(f"unknown stage {stage!r}")
 
 
-@cache
-def _written(application: str, folder: str, stage: str) -> tuple[str, StructType]:
-    spark = SparkSession.active()
-    path = f"{shared_folder(spark)}/{stage}-{uuid.uuid4().hex}.parquet"
-    df = _build(spark, folder, stage)
-    df.write.parquet(path)
-    return path, df.schema
+# Paths (and schemas) by application, source folder and stage.
+_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def _once(spark: SparkSession, folder: str, stage: str, build, form: str) -> tuple[str, StructType]:
+    key = (spark.sparkContext.applicationId, folder, stage)
+    if key not in _written:
+        path = f"{shared_folder(spark)}/{stage}-{uuid.uuid4().hex}.{form}"
+        df = build()
+        df.write.format(form).option("compression", "gzip" if form == "json" else "snappy").save(path)
+        _written[key] = path, df.schema
+    return _written[key]
 
 
 def stored(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     """Scan of a stage's table; writes it first if this session has not yet."""
-    path, schema = _written(spark.sparkContext.applicationId, folder, stage)
+    path, schema = _once(spark, folder, stage, lambda: _build(spark, folder, stage), "parquet")
     return spark.read.schema(schema).parquet(path)
 
 
-@cache
-def _written_json(application: str, folder: str) -> str:
-    spark = SparkSession.active()
-    path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}.json"
-    stored(spark, folder, "raw").write.option("compression", "gzip").json(path)
-    return path
-
-
 def raw_json_path(spark: SparkSession, folder: str) -> str:
     """The raw records as JSON Lines."""
-    return _written_json(spark.sparkContext.applicationId, folder)
+    return _once(spark, folder, "raw_json", lambda: stored(spark, folder, "raw"), "json")[0]

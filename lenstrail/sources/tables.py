@@ -44,11 +44,13 @@ def write_table(
     """Replace the Parquet table at `path` and return a frame that reads it back.
 
     With `skip_empty` nothing is written for an empty frame and None is returned.  Files
-    are bounded by row count, never by forcing the job into one task.
+    are bounded by row count, never by forcing the job into one task.  Partitioned tables
+    are rebalanced first: few files per value, and a large value is split.
     """
     if skip_empty and df.isEmpty():
         return None
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
