@@ -14,12 +14,17 @@ from lenstrail.sources.tables import cut_lineage, roi_table
 
 
 def user_transactions(df: DataFrame, *, min_year: int = FIRST_REAL_YEAR) -> DataFrame:
-    """Sorted set of known regions per user.  Sets merge on the map side and are as short as
-    the region list, so a busy user is no burden."""
+    """Sorted set of known regions per user.
+
+    Repeats are dropped by a hash aggregation on (user, region) first, so only a user's few
+    distinct regions are sorted and gathered, however many photos there are.
+    """
     return (
         df.filter(is_known_roi() & from_year(min_year))
+        .select("user_id", "roi")
+        .distinct()
         .groupBy("user_id")
-        .agg(F.sort_array(F.collect_set("roi")).alias("items"))
+        .agg(F.sort_array(F.collect_list("roi")).alias("items"))
     )
 
 

@@ -47,18 +47,22 @@ def top_users(df: DataFrame, n: int = 5) -> DataFrame:
 def overview_kpis(df: DataFrame, *, min_plausible_year: int = FIRST_PLAUSIBLE_YEAR) -> DataFrame:
     """One row: photos, users, regions seen, first and last plausible year.
 
-    Regions are few, so they are gathered as a set; users are then the only distinct
-    column and the rows need not be expanded.
+    Two narrow passes: everything but the users comes from an aggregate with a row per
+    region, and the distinct users from their column alone.  One aggregate with two
+    distinct columns would expand every row instead.
     """
     year = F.year("timestamp")
     plausible = F.when(year >= min_plausible_year, year)
-    return df.agg(
-        F.count("*").alias("photos"),
-        F.count_distinct("user_id").alias("users"),
-        F.size(F.collect_set(F.when(is_known_roi(), F.col("roi")))).alias("rois"),
-        F.min(plausible).alias("first_year"),
-        F.max(plausible).alias("last_year"),
+    per_roi = df.groupBy("roi").agg(
+        F.count("*").alias("n"), F.min(plausible).alias("first"), F.max(plausible).alias("last")
     )
+    users = df.agg(F.count_distinct("user_id")).scalar()
+    return per_roi.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("photos"),
+        F.count_if(is_known_roi()).alias("rois"),
+        F.min("first").alias("first_year"),
+        F.max("last").alias("last_year"),
+    ).withColumn("users", users)
 
 
 def filter_photos(

@@ -299,7 +299,7 @@ reasons AS (
         round(hour_stddev, 6) AS hour_stddev, days_active, round(photos_per_day, 6) AS photos_per_day,
         label, user_type FROM profiles""",
     "overview_kpis": _enriched + """ SELECT count(*) AS photos, count(DISTINCT user_id) AS users,
-        count(DISTINCT roi) FILTER (roi <> 'Unknown')::INTEGER AS rois,
+        count(DISTINCT roi) FILTER (roi <> 'Unknown') AS rois,
         (min(year(ts)) FILTER (year(ts) >= 1500))::INTEGER AS first_year,
         (max(year(ts)) FILTER (year(ts) >= 1500))::INTEGER AS last_year FROM enriched""",
     "user_segments": _profiles + """ SELECT user_type, count(*) AS users,

@@ -120,7 +120,8 @@ def test_trends(spark, visits):
     assert rows(trends.yearly_trend(df)) == [(2000, 1), (2010, 1)]
     assert rows(trends.top_rois(df, 1)) == [("A", 1)]
     assert rows(trends.top_users(df, 1)) == [("a", 2)]
-    assert rows(trends.overview_kpis(df)) == [(3, 2, 2, 1999, 2010)]
+    assert rows(trends.overview_kpis(df)) == [(3, 2, 1999, 2010, 2)]
+    assert rows(trends.overview_kpis(df.limit(0))) == [(0, 0, None, None, 0)]
     timed = df.withColumn("day_name", F.date_format("timestamp", "EEEE")).withColumn("hour", F.hour("timestamp"))
     week = trends.weekday_counts(timed).collect()
     assert [(r.day_name, r["count"]) for r in week] == [
