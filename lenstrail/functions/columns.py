@@ -73,20 +73,19 @@ def planar_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
 
 
 def nearest(points: Sequence[tuple], lat: Column, lon: Column) -> Column:
-    """Struct (distance, pos, name) of the closest of a few fixed `(name, lat, lon)` points.
+    """Struct (distance, name) of the closest of a few fixed `(name, lat, lon)` points.
 
-    Ties go to the earlier point.  The candidates are literals, so no join is planned;
-    NULL when the position is NULL.
+    Ties go to the earlier point.  The points are literals, so no join is planned; NULL
+    when the position is NULL.
     """
-    candidates = [
-        F.struct(
-            planar_distance(lat, lon, F.lit(p_lat), F.lit(p_lon)).alias("distance"),
-            F.lit(pos).alias("pos"),
-            F.lit(name).alias("name"),
-        )
-        for pos, (name, p_lat, p_lon) in enumerate(points)
-    ]
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(F.array(*candidates)))
+    distances = F.array(*[planar_distance(lat, lon, F.lit(p[1]), F.lit(p[2])) for p in points])
+    least = F.array_min(distances)
+    names = F.array(*[F.lit(p[0]) for p in points])
+    found = F.struct(
+        least.alias("distance"),
+        F.element_at(names, F.array_position(distances, least).cast("int")).alias("name"),
+    )
+    return F.when(lat.isNotNull() & lon.isNotNull(), found)
 
 
 def user_type(days: Column, resident: int = RESIDENT_DAYS, tourist: int = TOURIST_DAYS) -> Column:

@@ -81,11 +81,14 @@ def od_matrix(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Moves between known regions: (source, target, user_type, weight).
 
     A move joins two consecutive photos of a user, in time order, that lie in different
-    regions; photos of the same second are ordered by region name.  Because repeated
-    (user, second, region) rows can only give moves within a region, they are reduced
-    first.  The sequence is then cut by day: one window gives the moves inside a day, and
-    a second one, over the first and last row of each day, the moves between days.  No
-    task holds more than one user's day, or the day ends of one user.
+    regions; photos of the same second are ordered by region name.  Repeated (user,
+    second, region) rows can only give moves within a region and are dropped first.
+
+    The sequence is cut by day.  A first window finds the moves inside a day; they are
+    counted, and only the first and last row of each day keep their time.  A second window
+    over that short list links the last row of a day to the first of the next.  No task
+    holds more than one user's day, or one user's day ends and move counts, and the counts
+    stay partitioned by user for the join.
     """
     visits = (
         df.filter(is_known_roi())
@@ -97,18 +100,23 @@ def od_matrix(df: DataFrame, profiles: DataFrame) -> DataFrame:
     steps = visits.withColumns(
         {"next_roi": F.lead("roi").over(in_day), "previous_roi": F.lag("roi").over(in_day)}
     )
-    over_days = Window.partitionBy("user_id").orderBy("timestamp", "roi")
-    day_ends = (
-        steps.filter(F.col("next_roi").isNull() | F.col("previous_roi").isNull())
-        .withColumn("next_day_roi", F.lead("roi").over(over_days))
-        .filter(F.col("next_roi").isNull())
-        .select("user_id", F.col("roi").alias("source"), F.col("next_day_roi").alias("target"))
+    day_end = F.col("next_roi").isNull() | F.col("previous_roi").isNull()
+    short = (
+        steps.filter(day_end | (F.col("roi") != F.col("next_roi")))
+        .groupBy(
+            "user_id",
+            F.col("roi").alias("source"),
+            F.col("next_roi").alias("target"),
+            F.when(day_end, F.col("timestamp")).alias("at"),
+        )
+        .agg(F.count("*").alias("n"))
     )
-    moves = steps.select("user_id", F.col("roi").alias("source"), F.col("next_roi").alias("target")).unionAll(day_ends)
+    next_day = F.lead("source").over(Window.partitionBy("user_id").orderBy("at", "source"))
     per_user = (
-        moves.filter(F.col("target").isNotNull() & (F.col("source") != F.col("target")))
+        short.withColumn("target", F.coalesce("target", next_day))
+        .filter(F.col("target").isNotNull() & (F.col("source") != F.col("target")))
         .groupBy("user_id", "source", "target")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     return (
         add_user_type(per_user, profiles)
