@@ -64,16 +64,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see; a local one only where the cluster names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    folder = tempfile.mkdtemp(prefix="lenstrail-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """Folder that all executors see: the one the cluster names in `spark.checkpoint.dir`.
+
+    A temporary folder stands in only in local mode, where nothing is named.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lenstrail-"))
+    return named or context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
