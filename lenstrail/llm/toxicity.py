@@ -10,12 +10,14 @@ so that a negative estimate of the negatives' risk is pushed back up instead of
 
 Features are words and beginnings of words, present or not.  Spark counts them over the
 learning rows, the strongest ones are kept, and numpy trains on their presence.  Bounds,
-all on the fit only: `most_positive` and `most_unlabelled` rows by hash, `most_features`.
+all on the fit only: `most_positive` and `most_unlabelled` rows by hash, `most_candidates` features
+of positives by count and `most_features` of them by difference.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,20 +61,22 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 600, rate: float = 0.05, ridge: float = 2e-4, seed: int = 5):
+def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 400, rate: float = 0.05, ridge: float = 2e-4):
     """Weights and bias of the logistic classifier by Adam on the non-negative risk.
 
     Where the estimated risk of negatives falls below 0, the step goes up on that part alone.
     """
     n = positive.shape[1]
-    w, b = np.zeros(n + 1), 0.0
+    w = np.zeros(n + 1)
     first, second = np.zeros(n + 1), np.zeros(n + 1)
 
     def sigmoid(z):
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+    kind = positive.dtype
     for step in range(1, steps + 1):
-        zp, zu = positive @ w[:n] + w[n], unlabelled @ w[:n] + w[n]
+        v = w[:n].astype(kind)
+        zp, zu = (positive @ v).astype(float) + w[n], (unlabelled @ v).astype(float) + w[n]
         loss_negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         up = sigmoid(zp) / len(zp)
         uu = sigmoid(zu) / len(zu)
@@ -81,14 +85,13 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps:
             gu = uu
         else:
             gp, gu = prior * up, -uu
-        grad = np.append(positive.T @ gp + unlabelled.T @ gu, gp.sum() + gu.sum())
+        grad = np.append(gp.astype(kind) @ positive + gu.astype(kind) @ unlabelled, gp.sum() + gu.sum())
         grad[:n] += ridge * w[:n]
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         pace = rate / (1 + step / steps * 4)
         w = w - pace * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    b = float(w[n])
-    return w[:n], b
+    return w[:n], float(w[n])
 
 
 def fit(
@@ -97,8 +100,9 @@ def fit(
     *,
     held_out: int = 1,
     prior: float | None = None,
-    most_positive: int = 6_000,
-    most_unlabelled: int = 18_000,
+    most_positive: int = 3_000,
+    most_unlabelled: int = 9_000,
+    most_candidates: int = 20_000,
     most_features: int = 512,
     least_documents: int = 4,
 ) -> ToxicityModel:
@@ -118,83 +122,54 @@ def fit(
     ids = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) != held_out)).select("doc_id")
     unlabelled = ids.orderBy(by_hash, "doc_id").limit(most_unlabelled).distinct().select("doc_id", F.lit(0).alias("u"))
     chosen = positive.join(unlabelled, "doc_id", "full").withColumn("p", F.coalesce("p", F.lit(0)))
-    doc_type = dict(docs.dtypes)["doc_id"]
-
-    def read(batches):
-        for part in slices(batches):
-            found = [sorted(features(t or "")) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": part.column("doc_id").combine_chunks(),
-                    "p": part.column("p").combine_chunks(),
-                    "in_u": part.column("in_u").combine_chunks(),
-                    "found": pa.array(found, pa.list_(pa.string())),
-                }
-            )
-
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen.select("doc_id", "p", F.col("u").isNotNull().cast("int").alias("in_u"))), "doc_id"
     )
-    bags = rows.mapInArrow(read, f"doc_id {doc_type}, p int, in_u int, found array<string>")
+    rows = cut_lineage(rows.select("text", "p", "in_u"))
 
     def count(batches):
-        total: dict[str, list[int]] = {}
-        for batch in batches:
-            for p, u, found in zip(*(batch.column(c).to_pylist() for c in ("p", "in_u", "found")), strict=True):
-                for f in found:
-                    x = total.setdefault(f, [0, 0])
-                    x[0] += p
-                    x[1] += u
-            if len(total) > 300_000:
-                yield _counts(total)
-                total = {}
-        if total:
-            yield _counts(total)
-
-    # Words are many and mostly rare: features of positives alone are counted first.
-    bags = cut_lineage(bags)
-    sizes = bags.agg(F.sum("p"), F.sum("in_u")).first()
-    n_p, n_u = max(sizes[0] or 0, 1), max(sizes[1] or 0, 1)
-    counted = bags.mapInArrow(count, "f string, n_p long, n_u long").groupBy("f").agg(F.sum("n_p").alias("n_p"), F.sum("n_u").alias("n_u"))
-    rate_p, rate_u = F.col("n_p") / n_p, F.col("n_u") / n_u
-    spread = F.sqrt((rate_p + 1e-6) / n_p + (rate_u + 1e-6) / n_u)
-    best = (
-        counted.where(F.col("n_p") >= least_documents)
-        .withColumn("z", F.abs(rate_p - rate_u) / spread)
-        .orderBy(F.desc("z"), "f")
-        .limit(most_features)
-        .select("f")
-        .collect()
-    )
-    names = sorted(r.f for r in best)
+        total: Counter[str] = Counter()
+        for part in slices(batches):
+            for text in part.column("text").to_pylist():
+                total.update(features(text or ""))
+        yield pa.RecordBatch.from_pydict({"f": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
+
+    # Features of positives that are not rare; then their presence in every row of the sample.
+    common = rows.where("p = 1").mapInArrow(count, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
+    common = common.where(F.col("n") >= least_documents).orderBy(F.desc("n"), "f").limit(most_candidates)
+    names = sorted(r.f for r in common.collect())
     place = {f: k for k, f in enumerate(names)}
 
     def index(batches):
-        for batch in batches:
-            found = [[place[f] for f in fs if f in place] for fs in batch.column("found").to_pylist()]
+        for part in slices(batches):
+            found = [[place[f] for f in features(t or "") if f in place] for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
-                {"p": batch.column("p"), "in_u": batch.column("in_u"), "at": pa.array(found, pa.list_(pa.int32()))}
+                {
+                    "p": part.column("p").combine_chunks(),
+                    "in_u": part.column("in_u").combine_chunks(),
+                    "at": pa.array(found, pa.list_(pa.int32())),
+                }
             )
 
-    small = bags.mapInArrow(index, "p int, in_u int, at array<int>").toPandas()  # bounded rows and features
-    x = np.zeros((len(small), len(names)), np.float32)
-    for i, at in enumerate(small["at"]):
-        x[i, list(at)] = 1
-    p, u = small["p"].to_numpy() == 1, small["in_u"].to_numpy() == 1
+    sample = rows.mapInArrow(index, "p int, in_u int, at array<int>").toPandas()  # bounded rows and features
+    p, u = sample["p"].to_numpy() == 1, sample["in_u"].to_numpy() == 1
     if not u.any() or not p.any() or not names:
         return ToxicityModel({}, -2.0)
+    row = np.repeat(np.arange(len(sample)), sample["at"].map(len).to_numpy())
+    at = np.concatenate([np.asarray(a, np.int64) for a in sample["at"]])
+    rate_p = np.bincount(at[p[row]], minlength=len(names)) / p.sum()
+    rate_u = np.bincount(at[u[row]], minlength=len(names)) / u.sum()
+    z = np.abs(rate_p - rate_u) / np.sqrt((rate_p + 1e-6) / p.sum() + (rate_u + 1e-6) / u.sum())
+    best = np.sort(np.argsort(-z, kind="stable")[:most_features])
+    column = np.full(len(names), -1)
+    column[best] = np.arange(len(best))
+    kept = column[at] >= 0
+    x = np.zeros((len(sample), len(best)), np.float32)
+    x[row[kept], column[at[kept]]] = 1
+    order = np.lexsort(x.T[:8])  # rows arrive in any order
+    x, p, u = x[order], p[order], u[order]
     w, b = train(x[p], x[u], prior)
-    return ToxicityModel({f: float(v) for f, v in zip(names, w, strict=True) if v}, b)
-
-
-def _counts(total: dict[str, list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "f": pa.array(total.keys(), pa.string()),
-            "n_p": pa.array([x[0] for x in total.values()], pa.int64()),
-            "n_u": pa.array([x[1] for x in total.values()], pa.int64()),
-        }
-    )
+    return ToxicityModel({names[k]: float(v) for k, v in zip(best, w, strict=True)}, b)
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
