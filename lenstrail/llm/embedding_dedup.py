@@ -245,7 +245,7 @@ def near_vectors(vectors: DataFrame, *, cosine: float = COSINE, recall: float =
 ORACLE = f"""
 WITH RECURSIVE good AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x != 0)) > 0),
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
 links AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y
     ON x.vec_id != y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= {COSINE}),

@@ -3,13 +3,14 @@
 1. Each text becomes the set of hashes of its runs of five words (lower case).  Texts with
    one set are a class; all later work is on classes.
 2. MinHash values in bands propose pairs.  In each band the members are first compared with
-   the least one (the leader), then members of components that are still apart with each other,
-   in blocks, so that no group meets in one task and linked members are not paired again.
+   the least one (the leader); verified links make components.
 3. A candidate's MinHash values are compared in steps.  After m of n agree, the posterior
    probability of reaching the threshold under a uniform prior is P(Binomial(n + 1, t) <= m);
-   a pair below the tolerance is dropped.
-4. What stays is verified on the whole sets.
-5. Links inside each component are counted in blocks, without listing pairs.
+   a pair below the tolerance is dropped.  What stays is verified on the whole sets.
+4. Components that meet in a band are compared in the same way, in blocks.  Those with
+   candidates left form clusters.
+5. All pairs of a cluster are verified on whole sets, block by block, which counts links and
+   joins components; pairs are never listed.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 STEP = 16
-TOLERANCE = 1e-7
+TOLERANCE = 1e-5
 BLOCK = 512
+BLOCK_BYTES = 2 << 20
 
 _U = np.uint64
 _WORD = re.compile(r"\w+")
@@ -189,7 +191,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
 
 
 def _across(members: DataFrame, steps) -> DataFrame:
-    """Candidate pairs between different components of a band (band, class, component, signature).
+    """Pairs (a, b) of components between which candidates stay; a forest for each task.
+
+    `members` has band, class, component, signature: bands that hold several components.
 
     Members of a component too large for a block get blocks of their own, the rest share blocks;
     two blocks of one large component are not paired.
@@ -216,38 +220,55 @@ def _across(members: DataFrame, steps) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
-        node, component = table.column("class").to_numpy(), table.column("component").to_numpy()
+        component = table.column("component").to_numpy()
         signs = _signatures(table.column("signature"))
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1)
-        found: list[np.ndarray] = []
-        for i in left:
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        root = {c: c for c in component.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        for i in left.tolist():
             js = right if len(right) else left[left > i]
             js = js[component[js] != component[i]]
-            if len(js):
-                js = js[stays(np.broadcast_to(signs[i], (len(js), HASHES)), signs[js], steps)]
-                found.append(np.column_stack((np.full(len(js), node[i]), node[js])))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.Table.from_pydict({"a": pa.array(pairs.min(axis=1, initial=np.iinfo(np.int64).max), pa.int64()), "b": pa.array(pairs.max(axis=1, initial=0), pa.int64())})
+            js = js[stays(np.broadcast_to(signs[i], (len(js), HASHES)), signs[js], steps)]
+            for c in np.unique(component[js]).tolist():
+                x, y = sorted((find(component[i].item()), find(c)))
+                root[y] = x
+        pairs = [(find(c), c) for c in root if find(c) != c]
+        return pa.Table.from_pydict(
+            {"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())}
+        )
 
-    return dealt.groupBy("task").applyInArrow(compare, "a long, b long").where("a != b").distinct()
+    return dealt.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _counted(nodes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(class, links) for classes in components (class, component, copies): documents of
-    other classes of the component that reach the threshold.
+def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+    """All pairs inside each cluster of (class, component, cluster, copies), verified in blocks.
 
-    A component is cut into blocks; each pair of blocks is one task that multiplies
-    their sparse incidence tables.  Rows grow with blocks, never with pairs of documents.
+    Rows are (class, links): documents of other classes that reach the threshold, to be summed,
+    and (a, b): components that a link joins, once per task.  A cluster is cut into blocks
+    of BLOCK_BYTES of text; each pair of blocks is one task that multiplies their sparse incidence
+    tables.  Rows grow with the number of blocks, never with pairs of documents.
     """
-    parts = nodes.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    placed = nodes.join(parts, "component").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
+    sized = nodes.join(texts.select("class", F.octet_length("text").alias("bytes")), "class")
+    parts = sized.groupBy("cluster").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("parts"))
+    placed = nodes.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "class", "copies", "component", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), (F.col("part") > F.col("other")).alias("second")
+        "class",
+        "copies",
+        "component",
+        "cluster",
+        F.least("part", "other").alias("p"),
+        F.greatest("part", "other").alias("q"),
+        (F.col("part") > F.col("other")).alias("second"),
     )
 
     def count(table: pa.Table) -> pa.Table:
         node, copies = table.column("class").to_numpy(), table.column("copies").to_numpy().astype(float)
+        component = table.column("component").to_numpy()
         second = np.array(table.column("second").to_pylist(), bool)
         sets = shingle_sets(table.column("text").to_pylist(), words)
         sizes = np.array([len(s) for s in sets], float)
@@ -285,10 +306,20 @@ def _counted(nodes: DataFrame, texts: DataFrame, words: int, threshold: float) -
         else:
             ids = np.concatenate((node[left], node[right]))
             links = np.concatenate((hit @ copies[right], hit.T @ copies[left]))
-        return pa.Table.from_pydict({"class": pa.array(ids, pa.int64()), "links": pa.array(np.rint(links).astype(np.int64), pa.int64())})
-
-    tasks = dealt.join(texts, "class").groupBy("component", "p", "q")
-    return tasks.applyInArrow(count, "class long, links long").groupBy("class").agg(F.sum("links").alias("links"))
+        r, c = np.nonzero(hit & (component[left][:, None] != component[right][None, :]))
+        joined = np.unique(np.sort(np.column_stack((component[left][r], component[right][c])), axis=1), axis=0)
+        none, some = [None] * len(joined), [None] * len(ids)
+        return pa.Table.from_pydict(
+            {
+                "class": pa.array([*ids.tolist(), *none], pa.int64()),
+                "links": pa.array([*np.rint(links).astype(np.int64).tolist(), *none], pa.int64()),
+                "a": pa.array([*some, *joined[:, 0].tolist()], pa.int64()),
+                "b": pa.array([*some, *joined[:, 1].tolist()], pa.int64()),
+            }
+        )
+
+    tasks = dealt.join(texts, "class").groupBy("cluster", "p", "q")
+    return tasks.applyInArrow(count, "class long, links long, a long, b long")
 
 
 def _rep(frame_doc: str = "doc_id"):
@@ -346,19 +377,25 @@ def ngram_join(
     groups = cut_lineage(components(linked).withColumnRenamed("id", "class"))
     located = shared.join(groups, "class", "left").select("band", "class", F.coalesce("component", "class").alias("component"))
     apart = located.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
-    second = _across(located.join(apart, "band").join(signs, "class"), steps)
-    second = cut_lineage(second.join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        ends2 = second.select(F.col("a").alias("class")).union(second.select("b")).distinct()
-        more = classes.join(ends2.join(ends, "class", "left_anti"), "class")
-        texts = texts.union(_texts_of(more, docs))
-        linked = linked.union(cut_lineage(_verified(second, texts, words, threshold)))
-        groups = cut_lineage(components(linked).withColumnRenamed("id", "class"))
+    crossed = cut_lineage(_across(located.join(apart, "band").join(signs, "class"), steps))
+    clusters = components(crossed).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
     nodes = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    nodes = cut_lineage(nodes.join(clusters, "component", "left"))
+    # Without counts, components that no candidate joins are settled.
+    inner = nodes.where("cluster IS NOT NULL")
+    if count_links:
+        inner = nodes.join(groups.select("class"), "class", "left_semi").where("cluster IS NULL").unionByName(inner)
+    inner = inner.withColumn("cluster", F.coalesce("cluster", "component"))
+    texts = texts.union(_texts_of(inner.join(ends, "class", "left_anti"), docs))
+    compared = cut_lineage(_compared(inner.select("class", "component", "cluster", "copies"), texts, words, threshold))
+    merged = components(compared.where("a IS NOT NULL").select("a", "b")).select(
+        F.col("id").alias("component"), F.col("component").alias("whole")
+    )
+    nodes = nodes.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component"))
     name = nodes.groupBy("component").agg(F.min("rep").alias("first"))
     if count_links:
-        inner = nodes.join(groups.select("class"), "class", "left_semi").select("class", "component", "copies")
-        nodes = nodes.join(_counted(inner, texts, words, threshold), "class", "left")
+        links = compared.where("a IS NULL").groupBy("class").agg(F.sum("links").alias("links"))
+        nodes = nodes.join(links, "class", "left")
         n_links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
     else:
         n_links = F.lit(None).cast("long")

@@ -66,6 +66,7 @@ def test_equals_brute_force(spark):
 
 def test_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 8)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 4000)
     check(spark, corpus(2))
 
 
@@ -97,5 +98,5 @@ def test_edge_rows(spark):
 
 
 def test_pruning_keeps_what_can_reach_the_threshold():
-    steps = N.least_matches(0.8, 1e-7)
+    steps = N.least_matches(0.8, N.TOLERANCE)
     assert steps[-1][0] == N.HASHES and all(0 < m < 0.8 * n for n, m in steps[1:])
