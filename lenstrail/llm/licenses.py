@@ -23,6 +23,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lenstrail.sources.tables import cut_lineage
+
 THRESHOLD = 0.6
 WORD = "[a-z0-9]+(?:\\.[0-9]+)*"
 SENTENCE_END = "(?<=[.!?])\\s+|\\n+"
@@ -136,7 +138,7 @@ def license_scan(docs: DataFrame, path: Column, *, threshold: float = THRESHOLD)
     )
     name = F.regexp_extract("path", "[^/]*$", 0)
     mostly = F.when(F.col("of_licence") > 0, F.col("of_licence") * 2 >= F.size(_words(F.col("text")))).otherwise(False)
-    rows = rows.select(
+    scanned = rows.select(
         "doc_id",
         "path",
         directory_of(F.col("path")).alias("directory"),
@@ -144,6 +146,7 @@ def license_scan(docs: DataFrame, path: Column, *, threshold: float = THRESHOLD)
         F.round("best.score", 6).alias("score"),
         (F.col("best").isNotNull() & (mostly | name.rlike(FILE_NAME))).alias("licence_file"),
     )
+    rows = cut_lineage(scanned)  # read three times below; holds no texts
     given = (
         rows.where("licence_file")
         .groupBy(F.col("directory").alias("above"))
