@@ -100,10 +100,10 @@ def fit(
     *,
     held_out: int = 1,
     prior: float | None = None,
-    most_positive: int = 3_000,
-    most_unlabelled: int = 9_000,
-    most_candidates: int = 20_000,
-    most_features: int = 512,
+    most_positive: int = 2_500,
+    most_unlabelled: int = 7_000,
+    most_candidates: int = 8_000,
+    most_features: int = 384,
     least_documents: int = 4,
 ) -> ToxicityModel:
     """`prior` defaults to the share of positives among the labelled rows to learn from."""
@@ -151,23 +151,25 @@ def fit(
                 }
             )
 
-    sample = rows.mapInArrow(index, "p int, in_u int, at array<int>").toPandas()  # bounded rows and features
-    p, u = sample["p"].to_numpy() == 1, sample["in_u"].to_numpy() == 1
+    # Bounded rows and features; packed, since the driver holds it.
+    parts = rows.mapInArrow(index, "p int, in_u int, at array<int>").toArrow().combine_chunks()
+    p, u = (parts.column(c).to_numpy().astype(bool) for c in ("p", "in_u"))
     if not u.any() or not p.any() or not names:
         return ToxicityModel({}, -2.0)
-    row = np.repeat(np.arange(len(sample)), sample["at"].map(len).to_numpy())
-    at = np.concatenate([np.asarray(a, np.int64) for a in sample["at"]])
+    lists = parts.column("at").combine_chunks()
+    row = np.repeat(np.arange(len(p), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    at = lists.flatten().to_numpy()
+    del parts, lists
     rate_p = np.bincount(at[p[row]], minlength=len(names)) / p.sum()
     rate_u = np.bincount(at[u[row]], minlength=len(names)) / u.sum()
     z = np.abs(rate_p - rate_u) / np.sqrt((rate_p + 1e-6) / p.sum() + (rate_u + 1e-6) / u.sum())
     best = np.sort(np.argsort(-z, kind="stable")[:most_features])
-    column = np.full(len(names), -1)
+    column = np.full(len(names), -1, np.int32)
     column[best] = np.arange(len(best))
     kept = column[at] >= 0
-    x = np.zeros((len(sample), len(best)), np.float32)
+    x = np.zeros((len(p), len(best)), np.float32)
     x[row[kept], column[at[kept]]] = 1
-    order = np.lexsort(x.T[:8])  # rows arrive in any order
-    x, p, u = x[order], p[order], u[order]
+    del row, at, kept
     w, b = train(x[p], x[u], prior)
     return ToxicityModel({names[k]: float(v) for k, v in zip(best, w, strict=True)}, b)
 
