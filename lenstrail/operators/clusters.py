@@ -45,8 +45,8 @@ def kmeans_clusters(df: DataFrame, *, k: int = 10, seed: int = 1) -> DataFrame:
     return assign_nearest(df, fit_centres(df, k=k, seed=seed))
 
 
-def silhouette(clustered: DataFrame, *, fraction: float = 0.2, seed: int = 1) -> DataFrame:
-    """One row: mean squared-Euclidean silhouette of a sample (`fraction` 1 takes all rows)."""
+def silhouette(clustered: DataFrame, *, fraction: float = 1.0, seed: int = 1) -> DataFrame:
+    """One row: mean squared-Euclidean silhouette of all rows, or of a sample on request."""
     rows = clustered.select("latitude", "longitude", F.col("cluster").cast("int").alias("prediction"))
     if fraction < 1:
         rows = bernoulli_sample(rows, fraction, seed)

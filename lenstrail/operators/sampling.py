@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def hash_split(df: DataFrame, key: str, share: float = 0.8, steps: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """Split in two by a hash of `key`; rows with equal keys stay together."""
-    low = F.pmod(F.xxhash64(key), F.lit(steps)) < round(share * steps)
+def _uniform(keys: Sequence[str], seed: int) -> Column:
+    """Number in [0, 1) from the md5 of the keys as text, NULL as an empty text."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 12), 16, 10).cast("long") / float(1 << 48)
+
+
+def hash_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Split in two by the md5 of `key`; rows with equal keys stay together."""
+    low = _uniform([key], seed) < share
     return df.filter(low), df.filter(~low)
 
 
-def bernoulli_sample(df: DataFrame, fraction: float = 0.2, seed: int = 1) -> DataFrame:
-    return df.sample(False, fraction, seed)
+def bernoulli_sample(df: DataFrame, fraction: float = 0.2, seed: int = 1, keys: Sequence[str] = ()) -> DataFrame:
+    """Each row with chance `fraction` by the md5 of `keys` (all columns if none are given)."""
+    return df.filter(_uniform(keys or df.columns, seed) < fraction)
 
 
 def exact_sample(df: DataFrame, key: str, n: int, *, hex_digits: int = 4) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lenstrail.config import ROIS, Roi
 from lenstrail.operators import clean, clusters, enrich, profiles, rules, tags, views
-from lenstrail.sources.raw_json import raw_schema, read_raw
+from lenstrail.sources.raw_json import read_photos
 from lenstrail.sources.tables import write_table
 
 
@@ -28,7 +28,7 @@ def run_all(
     input with no valid photo stops with an error before anything else is written.
     """
     if isinstance(raw, str):
-        raw = read_raw(spark, raw, layout=layout, schema=raw_schema())
+        raw = read_photos(spark, raw, layout=layout)
     done: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame, **options) -> DataFrame:
