@@ -36,7 +36,7 @@ HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-5
 BLOCK = 512
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _WORD = re.compile(r"\w+")
@@ -285,7 +285,7 @@ def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float)
         where_l, where_r = np.full(len(sets), -1), np.full(len(sets), -1)
         where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
         inter = np.zeros((len(left), len(right)), np.float32)
-        width = 4096
+        width = 2048
         for k in range(0, int(shared.sum()), width):
             a, b = np.searchsorted(at, [k, k + width])
             r, c = row[a:b], at[a:b] - k
