@@ -3,8 +3,9 @@
 A vector is rotated by three rounds of random signs and a fast Hadamard transform; its hash
 is the coordinate of largest size with its sign.  A table joins `k` such hashes into a bucket.
 Every vector is filed in one bucket per table and also looks into those that swap one hash
-for its second best.  Candidates are screened with half-precision copies inside the bucket and
-verified in double precision on the whole vectors.
+for its second best.  Candidates are screened with half-precision copies inside the bucket, which
+hands on a forest that joins them into clusters, never the pairs.  Inside a cluster all pairs
+are verified in double precision on the whole vectors, block by block, and counted there.
 
 The number of tables is computed so that a pair exactly at the threshold is met with
 probability `recall`: the chance per table is measured on random pairs at that angle.  `k` follows
@@ -27,7 +28,9 @@ from lenstrail.sources.tables import cut_lineage
 COSINE = 0.9
 RECALL = 0.9995
 BLOCK = 1024
+EXACT_BLOCK = 2048  # vectors of a cluster that one task compares with as many others
 SCREEN = 0.01  # more than half precision and summation can lose
+ROUNDING = 1e-12  # cosines nearer to the threshold are computed again, pair by pair
 
 _U = np.uint64
 
@@ -119,6 +122,78 @@ def cosine_of(a: np.ndarray, b: np.ndarray) -> float:
     return float(_unit(a) @ _unit(b))
 
 
+def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least index that each of 0..n-1 reaches by the links (x, y)."""
+    low = np.arange(n)
+    while len(x):
+        a, b = low[x], low[y]
+        least = np.minimum(a, b)
+        np.minimum.at(low, a, least)
+        np.minimum.at(low, b, least)
+        while (low != low[low]).any():
+            low = low[low]
+        apart = low[x] != low[y]
+        x, y = x[apart], y[apart]
+    return low
+
+
+def _linked(unit: np.ndarray, other: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of two arrays of unit vectors reach the cosine, whatever the block they are in."""
+    value = unit @ other.T
+    hit = value >= cosine
+    for r, c in np.argwhere(np.abs(value - cosine) < ROUNDING).tolist():
+        hit[r, c] = math.fsum(unit[r] * other[c]) >= cosine
+    return hit
+
+
+def _compared(members: DataFrame, cosine: float) -> DataFrame:
+    """All pairs inside each cluster of (node, cluster, copies, embedding), compared in blocks.
+
+    Rows are (node, links): vectors linked with it, to be summed, and (a, b): links that join
+    nodes, a forest per task.  Rows grow with the number of blocks, not with pairs.
+    """
+    parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / EXACT_BLOCK).cast("int").alias("parts"))
+    placed = members.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(2), "node"), F.col("parts")).cast("int"))
+    tasks = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "node",
+        "cluster",
+        "copies",
+        "embedding",
+        F.least("part", "other").alias("p"),
+        F.greatest("part", "other").alias("q"),
+        (F.col("part") > F.col("other")).alias("second"),
+    )
+
+    def count(table: pa.Table) -> pa.Table:
+        node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        unit = np.array([_unit(v) for v in _matrix(table.column("embedding"))])
+        second = np.array(table.column("second").to_pylist(), bool)
+        same = table.column("p")[0].as_py() == table.column("q")[0].as_py()
+        every = np.arange(len(node))
+        left, right = (every, every) if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        hit = _linked(unit[left], unit[right], cosine)
+        if same:
+            np.fill_diagonal(hit, False)
+        links = np.zeros(len(node), np.int64)
+        links[left] = hit @ copies[right]
+        if not same:
+            links[right] = hit.T @ copies[left]
+        r, c = np.nonzero(hit)
+        low = forest(len(node), left[r], right[c])
+        ends = np.flatnonzero(low != every)
+        none, some = [None] * len(ends), [None] * len(node)
+        return pa.Table.from_pydict(
+            {
+                "node": pa.array([*node.tolist(), *none], pa.int64()),
+                "links": pa.array([*links.tolist(), *none], pa.int64()),
+                "a": pa.array([*some, *node[low[ends]].tolist()], pa.int64()),
+                "b": pa.array([*some, *node[ends].tolist()], pa.int64()),
+            }
+        )
+
+    return tasks.groupBy("cluster", "p", "q").applyInArrow(count, "node long, links long, a long, b long")
+
+
 def near_vectors(vectors: DataFrame, *, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
     """Row per vector (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -191,41 +266,25 @@ def near_vectors(vectors: DataFrame, *, cosine: float = COSINE, recall: float =
     tasks = one.union(many_looks).union(many_lies)
 
     def pair(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
+        """Candidates of a bucket as a forest: each node with the first one it reaches."""
+        node, place = np.unique(table.column("node").to_numpy(), return_inverse=True)
+        low = every = np.arange(len(node))
         lies = np.array(table.column("lies").to_pylist(), bool)
-        a: list[np.ndarray] = []
-        b: list[np.ndarray] = []
         if lies.any() and len(node) > 1:
             raw = table.column("code").to_pylist()
             unit = np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32)
-            close = unit @ unit[lies].T >= cosine - SCREEN
-            r, c = np.nonzero(close)
-            x, y = node[r], node[lies][c]
-            keep = x != y
-            a, b = np.minimum(x, y)[keep], np.maximum(x, y)[keep]
-        pairs = np.unique(np.column_stack((a, b)), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.Table.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    candidates = tasks.groupBy("bucket", "i", "j").applyInArrow(pair, "a long, b long").distinct()
-
-    def verify(batches):
-        for batch in batches:
-            xs, ys = _matrix(batch.column("x")), _matrix(batch.column("y"))
-            keep = [len(x) == len(y) and cosine_of(x, y) >= cosine for x, y in zip(xs, ys, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    links = cut_lineage(
-        candidates.join(nodes.select(F.col("node").alias("a"), F.col("embedding").alias("x")), "a")
-        .join(nodes.select(F.col("node").alias("b"), F.col("embedding").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(verify, "a long, b long")
-    )
-    groups = components(links).withColumnRenamed("id", "node")
+            r, c = np.nonzero(unit @ unit[lies].T >= cosine - SCREEN)
+            low = forest(len(node), place[r], place[lies][c])
+        ends = np.flatnonzero(low != every)
+        return pa.Table.from_pydict({"a": pa.array(node[low[ends]], pa.int64()), "b": pa.array(node[ends], pa.int64())})
+
+    candidates = cut_lineage(tasks.groupBy("bucket", "i", "j").applyInArrow(pair, "a long, b long").distinct())
+    clusters = components(candidates).select(F.col("id").alias("node"), F.col("component").alias("cluster"))
+    members = nodes.join(clusters, "node").select("node", "cluster", "copies", "embedding")
+    compared = cut_lineage(_compared(members, cosine))
+    groups = components(compared.where("a IS NOT NULL").select("a", "b")).withColumnRenamed("id", "node")
     known = nodes.select("node", "first_id", "copies")
-    ends = links.select(F.col("a").alias("node"), F.col("b").alias("to")).union(links.select("b", "a"))
-    linked = (
-        ends.join(known.select(F.col("node").alias("to"), F.col("copies").alias("more")), "to").groupBy("node").agg(F.sum("more").alias("links"))
-    )
+    linked = compared.where("a IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
     known = known.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     name = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
     known = known.join(linked, "node", "left").join(name, "component")

@@ -67,3 +67,9 @@ def test_transform_keeps_lengths():
 def test_recall_of_the_plan():
     k, tables = E.plan(50_000, 64, 0.9, 0.9995)
     assert 1 - (1 - E.chance(64, k, 0.9)) ** tables > 0.999
+
+
+def test_forest_gives_the_least_index_of_each_group():
+    low = E.forest(7, np.array([5, 3, 6, 6]), np.array([3, 1, 4, 6]))
+    assert low.tolist() == [0, 1, 2, 1, 4, 1, 4]
+    assert E.forest(0, np.zeros(0, int), np.zeros(0, int)).tolist() == []
