@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from math import comb
 
@@ -37,6 +38,7 @@ STEP = 16
 TOLERANCE = 1e-5
 BLOCK = 512
 BLOCK_BYTES = 1 << 20
+AT_ONCE = 1 << 18  # characters split into words at a time
 
 _U = np.uint64
 _WORD = re.compile(r"\w+")
@@ -50,7 +52,7 @@ class _Hashes(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode())
         return value
@@ -59,11 +61,23 @@ class _Hashes(dict):
 _KNOWN = _Hashes()
 
 
-def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of the runs of `words` words of each text.
+def shingle_sets(texts: Iterable[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the runs of `words` words of each text, one by one.
 
     A text of fewer words has one run, of all its words; a text without words has none.
+    Words, which take many times the memory of the text, are held for few texts at a time.
     """
+    held, n = [], 0
+    for text in texts:
+        held.append(text)
+        n += len(text or "")
+        if n >= AT_ONCE:
+            yield from _shingle_sets(held, words)
+            held, n = [], 0
+    yield from _shingle_sets(held, words)
+
+
+def _shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     pieces = [_WORD.findall(t.lower()) if t else [] for t in texts]
     flat = np.fromiter(map(_KNOWN.__getitem__, chain.from_iterable(pieces)), np.uint64)
     out, at = [], 0
@@ -143,7 +157,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     def run(batches):
         for part in slices(batches, 4 << 20):
             columns: dict[str, list] = {k: [] for k in ("class", "signature", "bands")}
-            for s in shingle_sets(part.column("text").to_pylist(), words):
+            for s in shingle_sets((t.as_py() for t in part.column("text")), words):
                 low = signature(s) if len(s) else None
                 node = int(mixed(mixed(s).sum(dtype=np.uint64, keepdims=True) + _U(len(s)))[0] >> _U(1)) if len(s) else None
                 columns["class"].append(node)
@@ -178,8 +192,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
     def compare(table: pa.Table) -> pa.Table:
         a = table.column("a")[0].as_py()
         nodes = table.column("class").to_pylist()
-        sets = shingle_sets(table.column("text").to_pylist(), words)
-        own = sets[nodes.index(a)]
+        texts = table.column("text")
+        own = next(shingle_sets([texts[nodes.index(a)].as_py()], words))
+        sets = shingle_sets((t.as_py() for t in texts), words)
         found = [
             n
             for n, s in zip(nodes, sets, strict=True)
@@ -250,11 +265,13 @@ def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float)
 
     Rows are (class, links): documents of other classes that reach the threshold, to be summed,
     and (a, b): components that a link joins, once per task.  A cluster is cut into blocks
-    of BLOCK_BYTES of text; each pair of blocks is one task that multiplies their sparse incidence
+    of BLOCK_BYTES of text or BLOCK texts, so that the table of pairs is bounded too; each pair of blocks is one task that multiplies their sparse incidence
     tables.  Rows grow with the number of blocks, never with pairs of documents.
     """
     sized = nodes.join(texts.select("class", F.octet_length("text").alias("bytes")), "class")
-    parts = sized.groupBy("cluster").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("parts"))
+    parts = sized.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK)).cast("int").alias("parts")
+    )
     placed = nodes.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "class",
@@ -270,7 +287,7 @@ def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float)
         node, copies = table.column("class").to_numpy(), table.column("copies").to_numpy().astype(float)
         component = table.column("component").to_numpy()
         second = np.array(table.column("second").to_pylist(), bool)
-        sets = shingle_sets(table.column("text").to_pylist(), words)
+        sets = list(shingle_sets((t.as_py() for t in table.column("text")), words))
         sizes = np.array([len(s) for s in sets], float)
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         _, at, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
