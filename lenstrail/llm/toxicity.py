@@ -212,7 +212,9 @@ def clean_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
 
     def run(batches):
         for batch in batches:
-            value = model.score([t or "" for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array(value < threshold))
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                value = model.score([t or "" for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(value < threshold))
 
     return docs.mapInArrow(run, docs.schema)
