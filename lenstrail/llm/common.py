@@ -50,6 +50,8 @@ def slices(batches, size: int = 8 << 20, text: str = "text"):
     held = [b for b in held if b.num_rows]
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    pa.default_memory_pool().release_unused()  # workers are used again by later stages
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -418,7 +418,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     def bundle(batches):
         """All columns of `docs`, several rows to a compressed bundle, dealt to their places."""
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for part in slices(batches, 12 << 20, "__text"):
+        for part in slices(batches, 6 << 20, "__text"):
             home = _home(_ids(part.column("__doc")), part.column("__key").to_numpy().astype(np.int64), n)
             order = np.argsort(home, kind="stable")
             part = part.take(pa.array(order)).combine_chunks()
