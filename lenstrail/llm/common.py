@@ -31,6 +31,18 @@ def buckets_for(n_bytes: int, each: int = 8 << 20, least: int = 24) -> int:
     return max(least, math.ceil(n_bytes / each))
 
 
+def short_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """`df`, with Spark's default of 10 000 rows an Arrow batch lowered for its session.
+
+    A batch of whole texts is held by the executor and by its Python worker at once; Spark
+    bounds its rows, not its bytes.  A bound that the caller has set stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(rows))
+    return df
+
+
 def slices(batches, size: int = 8 << 20, text: str = "text"):
     """Arrow tables of about `size` bytes of text, cut from a stream of record batches.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import buckets_for, slices, text_bytes
+from lenstrail.llm.common import buckets_for, short_batches, slices, text_bytes
 from lenstrail.llm.suffix_dedup import _BYTES, Powers, gram_hashes, mixed
 
 WINDOW = 64
@@ -164,7 +164,7 @@ def entropy_ranks(docs: DataFrame) -> list[int]:
                     total += np.bincount(entropy_classes(data, window_starts(data)), minlength=CLASSES)
         yield pa.RecordBatch.from_pydict({"class": pa.array(range(CLASSES), pa.int32()), "n": pa.array(total)})
 
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "class int, n long")
+    counted = short_batches(docs).select(F.col("text").cast("string").alias("text")).mapInArrow(count, "class int, n long")
     n = {r["class"]: r.n for r in counted.groupBy("class").agg(F.sum("n").alias("n")).collect()}  # CLASSES rows
     order = sorted(range(CLASSES), key=lambda c: (n.get(c) or 0, c))
     return [order.index(c) for c in range(CLASSES)]
@@ -252,7 +252,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         if last is not None:
             yield _batch([result(last, first)], kind)
 
-    return rows.mapInArrow(
+    return short_batches(rows).mapInArrow(
         run,
         f"doc_id {doc_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import slices
+from lenstrail.llm.common import short_batches, slices
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I | re.S)
@@ -226,4 +226,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
     columns = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     types = dict(columns.dtypes)
-    return columns.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string, n_chars long")
+    return short_batches(columns).mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string, n_chars long")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lenstrail.llm.common import components, slices
+from lenstrail.llm.common import components, short_batches, slices
 from lenstrail.llm.suffix_dedup import mixed
 from lenstrail.sources.tables import cut_lineage
 
@@ -173,7 +173,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 }
             )
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
+    rows = short_batches(docs).select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {doc_type}, text_key long, class long, signature binary, bands array<long>")
 
 

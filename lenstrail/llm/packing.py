@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import slices
+from lenstrail.llm.common import short_batches, slices
 
 WINDOW = 2048
 DOC_END = 1
@@ -171,4 +171,4 @@ def pack(
         if held:
             yield pack_block(held, stops, window, (sentence_cost, inside_cost), longest_gap, sequence)[0]
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+    return short_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)

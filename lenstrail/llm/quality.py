@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import crc_mod, slices
+from lenstrail.llm.common import crc_mod, short_batches, slices
 
 PIECE = 1024
 
@@ -122,7 +122,7 @@ def fit(
             )
 
     rows = rows.select(F.col("doc_id").cast("long"), F.col("label").cast("int"), "text")
-    pieces = rows.where(crc_mod("doc_id", 4) != curve).mapInArrow(cut, "doc_id long, label int, piece binary")
+    pieces = short_batches(rows).where(crc_mod("doc_id", 4) != curve).mapInArrow(cut, "doc_id long, label int, piece binary")
     sample = None
     for value in (0, 1):
         part = pieces.where(F.col("label") == value).orderBy(F.xxhash64("piece"), "piece").limit(most_pieces)
@@ -182,7 +182,7 @@ def score(docs: DataFrame, model: CompressionModel, *, held_out: int = 2, thresh
     rows = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), (crc_mod("doc_id", 4) == held_out).alias("held_out")
     )
-    return rows.mapInArrow(
+    return short_batches(rows).mapInArrow(
         run, f"doc_id {doc_type}, held_out boolean, score double, predicted int, n_bytes long, margin double"
     )
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import buckets_for, slices, text_bytes
+from lenstrail.llm.common import buckets_for, short_batches, slices, text_bytes
 from lenstrail.sources.tables import cut_lineage
 
 GRAM = 100
@@ -322,7 +322,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     GRAM bytes keep all.  No rows give no rows.
     """
     added = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    docs = docs.select(*[c for c in docs.columns if c not in added])
+    docs = short_batches(docs).select(*[c for c in docs.columns if c not in added])
     n = buckets_for(text_bytes(docs))
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lenstrail.llm.common import crc_mod, slices
+from lenstrail.llm.common import crc_mod, short_batches, slices
 from lenstrail.sources.tables import cut_lineage
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -135,7 +135,7 @@ def fit(
         yield pa.RecordBatch.from_pydict({"f": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
 
     # Features of positives that are not rare; then their presence in every row of the sample.
-    common = rows.where("p = 1").mapInArrow(count, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
+    common = short_batches(rows).where("p = 1").mapInArrow(count, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
     common = common.where(F.col("n") >= least_documents).orderBy(F.desc("n"), "f").limit(most_candidates)
     names = sorted(r.f for r in common.collect())
     place = {f: k for k, f in enumerate(names)}
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, held_out: int = 1, threshold
     rows = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), (crc_mod("doc_id", 3) == held_out).alias("held_out")
     )
-    return rows.mapInArrow(run, f"doc_id {doc_type}, held_out boolean, score double, predicted int")
+    return short_batches(rows).mapInArrow(run, f"doc_id {doc_type}, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -217,4 +217,4 @@ def clean_documents(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
                 value = model.score([t or "" for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array(value < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return short_batches(docs).mapInArrow(run, docs.schema)
