@@ -324,6 +324,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     added = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     docs = short_batches(docs).select(*[c for c in docs.columns if c not in added])
     n = buckets_for(text_bytes(docs))
+    n_sorts = 4 * n  # a suffix sort takes many times the memory of its bytes
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text")
     )
@@ -388,9 +389,9 @@ def dedup(docs: DataFrame) -> DataFrame:
             piece = data[s : s + c + GRAM - 1]
             x = _BYTES[np.frombuffer(piece, np.uint8)]
             if k == SORT:
-                where = [(int(mixed(gram_hashes(x, SEED)).min() % _U(n)), s, piece)]
+                where = [(int(mixed(gram_hashes(x, SEED)).min() % _U(n_sorts)), s, piece)]
             else:  # grams of a crowded minimizer part, each to the place of its own hash
-                h = mixed(gram_hashes(x, GRAM)) % _U(n)
+                h = mixed(gram_hashes(x, GRAM)) % _U(n_sorts)
                 where = [(int(h[i]), s + i, piece[i : i + GRAM]) for i in range(c)]
             for b, at, raw in where:
                 for name, value in zip(rows, (b, d, t, at, raw), strict=True):
