@@ -87,9 +87,17 @@ def cluster_labels(clustered: DataFrame, rois: Sequence[Roi] = ROIS, *, max_deg:
     ).orderBy(F.desc("photos"), "cluster")
 
 
-def label_points(points: DataFrame, labels: DataFrame) -> DataFrame:
-    """Put the cluster's label on each point.  `labels` has one row per cluster."""
-    return points.join(labels.select("cluster", "label"), "cluster", "left")
+def label_points(points: DataFrame, labels: DataFrame, *, max_broadcast: int = 10_000) -> DataFrame:
+    """Put the cluster's label on each point.  `labels` has one row per cluster.
+
+    The labels are materialised and counted: up to `max_broadcast` of them are broadcast, so
+    that the points stay where they are.  Beyond that both sides shuffle, and adaptive
+    execution splits the points of a busy cluster.
+    """
+    named = cut_lineage(labels.select("cluster", "label"))
+    if named.count() <= max_broadcast:
+        named = F.broadcast(named)
+    return points.join(named, "cluster", "left")
 
 
 def _hull_steps():

@@ -39,6 +39,14 @@ def roi_centres(df: DataFrame, top: int | None = None) -> DataFrame:
     return centres if top is None else centres.orderBy(F.desc("count"), "roi").limit(top)
 
 
+def map_counts(points: DataFrame, drawn: DataFrame) -> DataFrame:
+    """One row (matching, drawn): photos under the filters, and those left after sampling."""
+    marks = points.select(F.lit(1).alias("matching"), F.lit(0).alias("drawn")).union(
+        drawn.select(F.lit(0), F.lit(1))
+    )
+    return marks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("matching", "drawn")])
+
+
 def view_centre(df: DataFrame, default: tuple[float, float] = HEX_ORIGIN) -> DataFrame:
     """One row (lat, lon, count): where to centre the map, `default` if nothing is left to show."""
     return df.agg(

@@ -66,7 +66,8 @@ def _grid_labels(
     else:
         # Both sides shuffle.  Points of a busy cell are spread over `salts` tasks.
         keys.append("salt")
-        points = points.withColumn("salt", F.pmod(F.xxhash64("photo_id", "latitude", "longitude"), F.lit(salts)))
+        own = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        points = points.withColumn("salt", F.pmod(F.xxhash64(*own), F.lit(salts)))
         cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1))))
     holding = F.filter(
         "boxes",

@@ -72,9 +72,16 @@ def filter_photos(
     months: Sequence[int] = (),
     user_types: Sequence[str] = (),
     rois: Sequence[str] = (),
+    clusters: Sequence[int] = (),
 ) -> DataFrame:
     """Keep the listed values; an empty list leaves its column unfiltered."""
-    wanted = {"year": [str(y) for y in years], "month": months, "user_type": user_types, "roi": rois}
+    wanted = {
+        "year": [str(y) for y in years],
+        "month": months,
+        "user_type": user_types,
+        "roi": rois,
+        "cluster": clusters,
+    }
     for column, values in wanted.items():
         if values:
             df = df.filter(F.col(column).isin(list(values)))
@@ -82,12 +89,17 @@ def filter_photos(
 
 
 def filter_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct values of several columns as rows (column, value), in one pass."""
+    """Distinct values of several columns as rows (column, value), in one pass.
+
+    Distinct combinations come first, so that few rows are multiplied by the columns.
+    """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     )
     return (
-        df.select(pairs.alias("pair"))
+        df.select(*columns)
+        .distinct()
+        .select(pairs.alias("pair"))
         .select("pair.column", "pair.value")
         .filter(F.col("value").isNotNull())
         .distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,17 @@ def add_user_type(df: DataFrame, profiles: DataFrame) -> DataFrame:
     return df.join(profiles.select("user_id", "user_type"), "user_id", "left")
 
 
+def of_user_types(df: DataFrame, profiles: DataFrame, types: Sequence[str]) -> DataFrame:
+    """Rows whose user has one of the types; an empty list keeps all rows.
+
+    A semi-join on one profile per user: it multiplies no rows, and adaptive execution splits
+    the rows of a busy user.
+    """
+    if not types:
+        return df
+    return df.join(profiles.filter(F.col("user_type").isin(list(types))).select("user_id"), "user_id", "left_semi")
+
+
 def hourly_heatmap(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Photos per (roi, hour, user_type) in known regions.
 

@@ -271,6 +271,13 @@ def user_scatter_sample(spark, folder):
     return sampling.exact_sample(table, "user_id", 5000)
 
 
+@query
+def user_scatter_cut(spark, folder):
+    """A sample smaller than the table of users."""
+    table = user_table(spark, folder).select("user_id", "user_type", "total_photos")
+    return sampling.exact_sample(table, "user_id", 100)
+
+
 # --- views ------------------------------------------------------------------------
 
 
@@ -434,6 +441,36 @@ def filtered_map(spark, folder):
     return typed.groupBy(*keys, "user_type").agg(F.sum("n").alias("count"))
 
 
+MAP_FILTERS = {"years": ["2023", "2024"], "months": [1, 6, 12], "rois": ["Colosseo", "Pantheon", "Vaticano"]}
+TREND_FILTERS = {"years": ["2023", "2024"], "rois": ["Colosseo", "Pantheon", "Vaticano"]}
+
+
+def filtered_points(spark: SparkSession, folder: str) -> DataFrame:
+    shown = density.map_points(trends.filter_photos(timed(spark, folder), **MAP_FILTERS))
+    return views.of_user_types(shown, user_table(spark, folder), ["Resident", "Tourist"])
+
+
+@query
+def hexbin_filtered(spark, folder):
+    return density.hexbin_density(filtered_points(spark, folder))
+
+
+@query
+def roi_centres_filtered(spark, folder):
+    return rounded_means(density.roi_centres(filtered_points(spark, folder)), "lat", "lon")
+
+
+@query
+def view_centre_filtered(spark, folder):
+    return rounded_means(density.view_centre(filtered_points(spark, folder)), "lat", "lon")
+
+
+@query
+def map_counts_filtered(spark, folder):
+    points = filtered_points(spark, folder).select("photo_id", "latitude", "longitude", "roi")
+    return density.map_counts(points, sampling.exact_sample(points, "photo_id", 50))
+
+
 # --- trends -----------------------------------------------------------------------
 
 
@@ -457,6 +494,30 @@ def day_hour_grid(spark, folder):
     return trends.day_hour_grid(timed(spark, folder).filter(is_known_roi()))
 
 
+def filtered_times(spark: SparkSession, folder: str) -> DataFrame:
+    return trends.filter_photos(timed(spark, folder), **TREND_FILTERS)
+
+
+@query
+def month_roi_filtered(spark, folder):
+    return trends.month_roi(filtered_times(spark, folder))
+
+
+@query
+def hour_roi_filtered(spark, folder):
+    return trends.hour_roi(filtered_times(spark, folder))
+
+
+@query
+def weekday_filtered(spark, folder):
+    return trends.weekday_counts(filtered_times(spark, folder))
+
+
+@query
+def day_hour_filtered(spark, folder):
+    return trends.day_hour_grid(filtered_times(spark, folder))
+
+
 @query
 def filter_values(spark, folder):
     return trends.filter_values(timed(spark, folder).filter(is_known_roi()), ["year", "month", "roi"])
@@ -502,6 +563,13 @@ def cluster_centres(spark, folder):
     return rounded_means(clusters.cluster_centres(tiled(spark, folder)), "lat", "lon")
 
 
+@query
+def cluster_focus(spark, folder):
+    """One cluster alone."""
+    one = trends.filter_photos(tiled(spark, folder), clusters=[16])
+    return rounded_means(clusters.cluster_centres(one), "lat", "lon")
+
+
 @query
 def nearest_centre_assign(spark, folder):
     centres = [(i, *roi.centre) for i, roi in enumerate(ROIS)]

@@ -35,10 +35,13 @@ def run_all(
         done[name] = write_table(df, f"{out}/{name}.parquet", **options)
         return done[name]
 
+    report = clean.clean_report(raw)
     photos = keep("photos_clean", clean.clean_photos(raw), skip_empty=True)
     if photos is None:
         raise ValueError("no valid photo in the input")
+    keep("clean_report", report)
     photos = keep("photos_enriched", enrich.enrich_roi(photos, rois))
+    keep("roi_capture", enrich.roi_capture_stats(photos))
     keep("photos_time", enrich.time_features(photos), partition_by=("year",))
     users = keep("user_profiles", profiles.user_profiles(photos))
     keep("photo_clusters", clusters.kmeans_clusters(photos, k=k))

@@ -6,19 +6,28 @@ windows, joins and a bit-mask enumeration stand in for the distributed algorithm
 
 from __future__ import annotations
 
-# name, lat_min, lat_max, lon_min, lon_max in micro-degrees (fixed values)
-ROIS = [
-    ("Colosseo", 41889000, 41891000, 12491000, 12494000),
-    ("Vaticano", 41900000, 41906000, 12450000, 12460000),
-    ("Pantheon", 41897000, 41899000, 12475000, 12478000),
-    ("FontanaTrevi", 41900000, 41902000, 12482000, 12484000),
-    ("Trastevere", 41886000, 41892000, 12465000, 12472000),
-    ("StazioneTermini", 41900000, 41903000, 12498000, 12504000),
-    ("PiazzaNavona", 41898000, 41900000, 12472000, 12474000),
-    ("PiazzaSpagna", 41905000, 41907000, 12481000, 12484000),
-    ("VillaBorghese", 41910000, 41918000, 12475000, 12495000),
+# name, lat_min, lat_max, lon_min, lon_max in degrees (fixed values)
+REGIONS = [
+    ("Colosseo", 41.889, 41.891, 12.491, 12.494),
+    ("Vaticano", 41.9, 41.906, 12.45, 12.46),
+    ("Pantheon", 41.897, 41.899, 12.475, 12.478),
+    ("FontanaTrevi", 41.9, 41.902, 12.482, 12.484),
+    ("Trastevere", 41.886, 41.892, 12.465, 12.472),
+    ("StazioneTermini", 41.9, 41.903, 12.498, 12.504),
+    ("PiazzaNavona", 41.898, 41.9, 12.472, 12.474),
+    ("PiazzaSpagna", 41.905, 41.907, 12.481, 12.484),
+    ("VillaBorghese", 41.91, 41.918, 12.475, 12.495),
 ]
-CITY = (41600000, 42200000, 12200000, 12800000)
+CITY_BOX = (41.6, 42.2, 12.2, 12.8)
+
+
+def _micro(bounds) -> list[int]:
+    return [round(b * 1_000_000) for b in bounds]
+
+
+# The test photos lie on whole micro-degrees.
+ROIS = [(name, *_micro(bounds)) for name, *bounds in REGIONS]
+CITY = tuple(_micro(CITY_BOX))
 
 _boxes = [r[1:] for r in ROIS] + [CITY, CITY]
 
@@ -258,6 +267,19 @@ cubes AS (
 ),
 errors AS (SELECT *, abs(rq - q) AS dq, abs(rr - r) AS dr, abs(rs - s) AS ds FROM cubes)"""
 
+_SHOWN = """
+shown AS (
+    SELECT t.* FROM timed t JOIN profiles USING (user_id)
+    WHERE year IN ('2023', '2024') AND month IN (1, 6, 12) AND user_type IN ('Resident', 'Tourist')
+      AND roi IN ('Colosseo', 'Pantheon', 'Vaticano')
+)"""
+_shown = _with(_RAW, _CLEAN, _ENRICHED, _TIMED, _PROFILES, _SHOWN)
+_PICKED = """
+picked AS (
+    SELECT * FROM timed WHERE year IN ('2023', '2024') AND roi IN ('Colosseo', 'Pantheon', 'Vaticano')
+)"""
+_picked = _with(_RAW, _CLEAN, _ENRICHED, _TIMED, _PICKED)
+
 ORACLES: dict[str, str] = {
     "json_layout": "SELECT 'json_lines' AS layout, count(*) AS lines FROM events",
     "schema_report": """SELECT * FROM (VALUES ('dateTaken', 'string'), ('geoData.latitude', 'double'),
@@ -378,6 +400,28 @@ moves AS (
         count(*) AS count FROM timed JOIN profiles USING (user_id)
         WHERE year IN ('2023', '2024') AND month IN (1, 6, 12) AND user_type IN ('Resident', 'Tourist')
           AND roi IN ('Colosseo', 'Pantheon', 'Vaticano') GROUP BY ALL""",
+    "hexbin_filtered": _shown + "," + _HEX.replace("FROM known", "FROM shown") + """ SELECT
+        (CASE WHEN dq > dr AND dq > ds THEN -rr - rs ELSE rq END)::BIGINT AS hq,
+        (CASE WHEN NOT (dq > dr AND dq > ds) AND dr > ds THEN -rq - rs ELSE rr END)::BIGINT AS hr,
+        count(*) AS count FROM errors GROUP BY ALL""",
+    "roi_centres_filtered": _shown + """ SELECT roi, round(avg(latitude) + 1e-10, 6) AS lat,
+        round(avg(longitude) + 1e-10, 6) AS lon, count(*) AS count FROM shown GROUP BY roi""",
+    "view_centre_filtered": _shown + """ SELECT round(coalesce(avg(latitude), 41.89) + 1e-10, 6) AS lat,
+        round(coalesce(avg(longitude), 12.49) + 1e-10, 6) AS lon, count(*) AS count FROM shown""",
+    "map_counts_filtered": _shown + " SELECT count(*) AS matching, least(count(*), 50) AS drawn FROM shown",
+    "month_roi_filtered": _picked + " SELECT month, roi, count(*) AS count FROM picked GROUP BY ALL",
+    "hour_roi_filtered": _picked + " SELECT hour, roi, count(*) AS count FROM picked GROUP BY ALL",
+    "weekday_filtered": _picked + """, days AS (SELECT unnest(range(1, 8))::INTEGER AS day_idx)
+        SELECT day_idx, dayname(DATE '2023-12-31' + day_idx) AS day_name, count(photo_id) AS count
+        FROM days LEFT JOIN picked USING (day_idx) GROUP BY ALL""",
+    "day_hour_filtered": _picked + """, cells AS (
+        SELECT d::INTEGER AS day_idx, h::INTEGER AS hour FROM range(1, 8) AS a(d), range(24) AS b(h))
+        SELECT day_idx, dayname(DATE '2023-12-31' + day_idx) AS day_name, hour, count(photo_id) AS count
+        FROM cells LEFT JOIN picked USING (day_idx, hour) GROUP BY ALL""",
+    "user_scatter_cut": _profiles + """ SELECT user_id, user_type, total_photos FROM profiles
+        ORDER BY md5(user_id) LIMIT 100""",
+    "cluster_focus": _tiled + """ SELECT cluster, round(avg(latitude) + 1e-10, 6) AS lat,
+        round(avg(longitude) + 1e-10, 6) AS lon, count(*) AS photos FROM tiled WHERE cluster = 16 GROUP BY cluster""",
     "month_roi": _timed + " SELECT month, roi, count(*) AS count FROM timed WHERE roi <> 'Unknown' GROUP BY ALL",
     "hour_roi": _timed + " SELECT hour, roi, count(*) AS count FROM timed WHERE roi <> 'Unknown' GROUP BY ALL",
     "weekday_counts": _timed + """, days AS (SELECT unnest(range(1, 8))::INTEGER AS day_idx)
