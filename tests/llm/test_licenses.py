@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -76,3 +77,32 @@ def test_main_path_has_no_python(spark):
     df = spark.createDataFrame([(1, "p/a", "x")], "doc_id long, path string, text string")
     plan = L.license_scan(df, F.col("path"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+APACHE = dict(L.BLOCKS[10:11])["Apache-2.0"]
+GPL = [text for name, text in L.BLOCKS if name == "GPL-3.0"][1]
+
+
+def wrapped(text, lead, width=70):
+    return "\n".join(lead + line for line in textwrap.wrap(text, width))
+
+
+def test_headers_and_licence_files(spark):
+    files = {f"{name}/{k}": text for k, (name, text) in enumerate(L.blocks())}
+    texts = {
+        "Apache-2.0/one line": APACHE,
+        "Apache-2.0/comment": "#!/usr/bin/python\n#\n" + wrapped(APACHE, "# ") + "\n\nimport os\n" + "def work(a, b): return os.path.join(a, b)\n" * 40,
+        "Apache-2.0/sentence": APACHE.split(". You")[0] + ".",
+        "GPL-3.0/one line": GPL,
+        "GPL-3.0/comment": "/*\n" + wrapped(GPL, " * ") + "\n */\n\n" + "int main(int n, char **v) { return go(n, v); }\n" * 40,
+        "GPL-3.0/title": "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007",
+        "BSD-3-Clause/style": "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.",
+        "None/story": "The version of the story that the author gave is free of any terms, and you may copy it. " * 30,
+        **files,
+    }
+    fill = [(f"None/{i}", f"the file of a user is in the work of number {i}, as you may use it with any of them and not for the copy") for i in range(40)]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate([*texts.items(), *fill])], "doc_id long, path string, text string")
+    out = {r.path: r for r in L.license_scan(df.repartition(3), F.col("path")).collect()}
+    assert {p: r.own_licence for p, r in out.items() if str(r.own_licence) != p.split("/")[0]} == {}
+    assert all(out[p].score > 0.9 and out[p].licence_file for p in files)
+    assert not out["Apache-2.0/comment"].licence_file
