@@ -1,9 +1,8 @@
 """Digests of statistically improbable features.
 
-Windows of WINDOW bytes start where a hash of the next eight bytes says so, so their places
-follow the content.  A window's entropy falls in one of CLASSES classes; how often each class
-occurs in the whole corpus ranks it by rarity.  In every run of neighbouring windows the
-rarest one gains a point; windows with enough points are features.  A feature sets five bits in a
+A window of WINDOW bytes starts at every byte.  A window's entropy falls in one of CLASSES
+classes; how often each class occurs in the whole corpus ranks it by rarity.  In every run of
+RUN neighbouring windows the rarest one gains a point; windows with enough points are features.  A feature sets five bits in a
 Bloom filter of 2048 bits; after 160 features the next filter begins.
 
 Two digests compare filter by filter: common bits above those expected by chance, over the most
@@ -14,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -21,87 +21,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lenstrail.llm.common import buckets_for, short_batches, slices, text_bytes
-from lenstrail.llm.suffix_dedup import _BYTES, Powers, gram_hashes, mixed
+from lenstrail.llm.suffix_dedup import _BYTES, Powers, mixed
 
 WINDOW = 64
-EVERY = 16  # one window start in so many bytes, on average
 CLASSES = 256
-RUN, POINTS = 4, 2
+RUN, POINTS = 64, 4
 BITS, FILLED, HASHES = 2048, 160, 5
 
 _U = np.uint64
-_COUNTS = np.arange(WINDOW + 1)
-_PART = np.zeros(WINDOW + 1, np.float32)  # c * log2(c)
-_PART[1:] = _COUNTS[1:] * np.log2(_COUNTS[1:])
+_SCALE = 1 << 32
+_PART = np.array([round(c * math.log2(c) * _SCALE) if c else 0 for c in range(WINDOW + 1)], np.int64)  # c * log2(c)
+_STEP = np.concatenate(([0], np.diff(_PART)))  # of the c-th byte of a value
 
 
 def window_starts(data: np.ndarray) -> np.ndarray:
-    n = len(data) - WINDOW + 1
-    if n < 1:
-        return np.zeros(0, np.int64)
-    h = mixed(gram_hashes(_BYTES[data[: n + 7]], 8)[:n])
-    return np.flatnonzero(h % _U(EVERY) == 0)
+    return np.arange(max(len(data) - WINDOW + 1, 0))
 
 
-def entropy_classes(data: np.ndarray, at: np.ndarray, block: int = 1 << 16) -> np.ndarray:
-    """Class of the entropy of the bytes in each window; `at` rises.
+def _part_sums(data: np.ndarray) -> np.ndarray:
+    """Sum of c * log2(c) over the counts of each window's bytes, in whole numbers, so exact anywhere.
 
-    Byte values that occur are counted eight to a 64-bit word, eight bits each.  The running
-    sums carry over, but a difference over one window does not: its counts are at most WINDOW.
+    From one window to the next a byte leaves and one enters.  Places sorted by byte value tell
+    how often a byte occurs in the WINDOW bytes from it on, and up to it.
     """
+    order = np.argsort(data, kind="stable")
+    place = data[order].astype(np.int64) * (2 * len(data) + 2 * WINDOW) + order
+    rank = np.arange(len(data))
+    onward, upto = np.empty(len(data), np.int64), np.empty(len(data), np.int64)
+    onward[order] = np.searchsorted(place, place + WINDOW) - rank
+    upto[order] = rank + 1 - np.searchsorted(place, place - WINDOW, side="right")
+    out = np.empty(len(data) - WINDOW + 1, np.int64)
+    out[0] = _PART[np.bincount(data[:WINDOW])].sum()
+    out[1:] = _STEP[upto[WINDOW:]] - _STEP[onward[: len(out) - 1]]
+    return np.cumsum(out, out=out)
+
+
+def entropy_classes(data: np.ndarray, at: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+    """Class of the entropy of the bytes in each window; `at` rises."""
     out = np.empty(len(at), np.int64)
     for low in range(0, int(at[-1]) + 1 if len(at) else 0, block):
         i, j = np.searchsorted(at, [low, low + block])
         if i == j:
             continue
-        part = data[low : low + block + WINDOW]
-        present = np.zeros(256, np.int64)
-        present[part] = 1
-        code = (np.cumsum(present) - 1)[part]
-        running = np.zeros((-(-int(present.sum()) // 8), len(part) + 1), np.uint64)
-        running[code >> 3, np.arange(1, len(part) + 1)] = _U(1) << (_U(8) * (code & 7).astype(np.uint64))
-        np.cumsum(running, axis=1, out=running)
-        start = at[i:j] - low
-        counts = np.ascontiguousarray(running[:, start + WINDOW] - running[:, start]).view(np.uint8)
-        part_sum = _PART[counts].reshape(len(running), j - i, 8).sum(axis=(0, 2))
-        bits = np.log2(WINDOW) - part_sum / WINDOW
+        sums = _part_sums(data[low : low + block + WINDOW - 1])[at[i:j] - low]
+        bits = np.log2(WINDOW) - sums / (_SCALE * WINDOW)
         out[i:j] = np.clip(bits / np.log2(WINDOW) * CLASSES, 0, CLASSES - 1)
     return out
 
 
 class Windows:
-    """A text's bytes with starts, rarity and hash of its windows."""
+    """A text's bytes with the rarity of its windows."""
 
     def __init__(self, data: np.ndarray, rank: np.ndarray, powers: Powers):
-        self.data, self.at = data, window_starts(data)
-        self.rarity = rank[entropy_classes(data, self.at)]
-        x = _BYTES[data]
-        up, down = powers.to(len(data) + 1)
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * up[: len(data)], dtype=np.uint64)))
-        self.hashes = mixed((prefix[self.at + WINDOW] - prefix[self.at]) * down[self.at])
-
-    def part(self, low: int, high: int):
-        """Windows that lie in the bytes from low to high, starts counted from low."""
-        i, j = np.searchsorted(self.at, [low, max(high - WINDOW + 1, low)])
-        return self.at[i:j] - low, self.rarity[i:j], self.hashes[i:j]
+        self.data, self.powers = data, powers
+        self.rarity = rank.astype(np.uint8)[entropy_classes(data, window_starts(data))]
 
     def features(self) -> np.ndarray:
-        return _chosen(self.data, self.at, self.rarity, self.hashes)
+        return _chosen(self.data, self.rarity, self.powers)
+
+
+def _rarest(rarity: np.ndarray, run: int) -> np.ndarray:
+    """Place of the first rarest window of each run, from minima of doubling width."""
+    low = rarity.astype(np.int64) << 32 | np.arange(len(rarity))
+    width = 1
+    while 2 * width <= run:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    if width < run:
+        low = np.minimum(low[: width - run], low[run - width :])
+    return low & 0xFFFFFFFF
 
 
-def _chosen(data, at, rarity, hashes) -> np.ndarray:
+def _chosen(data: np.ndarray, rarity: np.ndarray, powers: Powers) -> np.ndarray:
     """Hashes of the windows that are rarest in enough runs, in order.
 
     A text without windows is one feature as a whole.
     """
     if not len(data):
         return np.zeros(0, np.uint64)
-    if not len(at):
+    if not len(rarity):
         return np.array([int.from_bytes(hashlib.sha1(data.tobytes()).digest()[:8], "little")], np.uint64)
-    run = min(RUN, len(at))
-    best = np.lib.stride_tricks.sliding_window_view(rarity, run).argmin(axis=1) + np.arange(len(at) - run + 1)
-    points = np.bincount(best, minlength=len(at))
-    return hashes[points >= min(POINTS, points.max())]
+    points = np.bincount(_rarest(rarity, min(RUN, len(rarity))), minlength=len(rarity))
+    at = np.flatnonzero(points >= min(POINTS, points.max()))
+    up, down = powers.to(len(data) + 1)
+    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[: len(data)], dtype=np.uint64)))
+    return mixed((prefix[at + WINDOW] - prefix[at]) * down[at])
 
 
 def spliced(a: Windows, n_a: int, b: Windows, n_b: int, rank: np.ndarray, powers: Powers) -> np.ndarray:
@@ -110,13 +114,9 @@ def spliced(a: Windows, n_a: int, b: Windows, n_b: int, rank: np.ndarray, powers
     Only windows across the seam are new; the others are taken over.
     """
     data = np.concatenate((a.data[:n_a], b.data[:n_b]))
-    left, right = a.part(0, n_a), b.part(0, n_b)
-    low, high = max(0, n_a - WINDOW + 1), min(len(data), n_a + WINDOW - 1)
-    seam = Windows(data[low:high], rank, powers)
-    parts = (left, (seam.at + low, *seam.part(0, high - low)[1:]), (right[0] + n_a, *right[1:]))
-    if not n_a or not n_b:
-        parts = (left, (right[0] + n_a, *right[1:]))
-    return _chosen(data, *(np.concatenate(c) for c in zip(*parts, strict=True)))
+    seam = Windows(data[max(0, n_a - WINDOW + 1) : n_a + WINDOW - 1], rank, powers)
+    left, right = (w.rarity[: max(n - WINDOW + 1, 0)] for w, n in ((a, n_a), (b, n_b)))
+    return _chosen(data, np.concatenate((left, seam.rarity, right)), powers)
 
 
 def filters(hashes: np.ndarray) -> np.ndarray:

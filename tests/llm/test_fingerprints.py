@@ -76,3 +76,19 @@ def test_few_rows(spark):
     (r,) = P.fingerprint(df).collect()
     assert r.near_next == 1 and r.n_chars == 160
     assert P.fingerprint(df.limit(0)).count() == 0
+
+
+def test_every_window_counts():
+    rng, powers = random.Random(5), P.Powers()
+    data = data_of(say(rng, 200))
+    assert P.window_starts(data).tolist() == list(range(len(data) - P.WINDOW + 1))
+    rank = np.random.default_rng(5).permutation(P.CLASSES)
+    rarity = P.Windows(data, rank, powers).rarity
+    runs = np.lib.stride_tricks.sliding_window_view(rarity, P.RUN)
+    assert (P._rarest(rarity, P.RUN) == runs.argmin(axis=1) + np.arange(len(runs))).all()
+    apart = 0
+    for _ in range(300):  # half of a short text is replaced
+        a, b, c = (say(rng, 80).encode()[:150] for _ in range(3))
+        one, two = (P.Windows(np.frombuffer(x, np.uint8), rank, powers).features() for x in (a + b, a + c))
+        apart += not np.isin(one, two).any()
+    assert apart <= 30
