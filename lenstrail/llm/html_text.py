@@ -4,9 +4,12 @@ A page is read once into text nodes with their root-to-leaf paths of block tags.
 text length and punctuation are summed over its nodes; the two ratios (text per node and
 punctuation per node) are smoothed over neighbouring nodes in page order and fused by
 multiplication.  Paths whose fused value reaches a share of the page's spread are content.
-The element that holds most of the content text is the article: all its blocks are kept,
-headings and short lines too.  Parts that HTML or their class and id names mark as furniture
-(menus, adverts, forms, comments and so on) never count.
+The article is the deepest element that holds all content blocks, or an article or main element
+around most of the content text: all content is kept, and the headings and short lines of the
+article.  Parts that HTML or their class and id names mark as furniture (menus, adverts, forms,
+comments and so on) never count.  A name is furniture as a whole token (`sidebar`, not
+`with-sidebar`) or in a common pair (`cookie-notice`), and not on an element that holds most of
+the page's text.
 """
 
 from __future__ import annotations
@@ -41,6 +44,11 @@ FURNITURE_NAMES = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations widget "
     "pagination pager copyright skip hidden form search".split()
 )
+# Words that say nothing beside a furniture word: `site-footer` is furniture, `search-result` is not.
+LAYOUT_NAMES = frozenset(
+    "site main page global primary secondary left right top bottom area list box wrapper wrap container block section inner outer bar "
+    "button buttons link links post posts item items widget header text".split()
+)
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr "
@@ -50,23 +58,45 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SCOPE = frozenset("ul ol table dl body html article section div main blockquote".split())
 
 
-def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
+NAMED, SURE = 1, 2  # furniture by its class or id only, or in any case
+
+
+def _furniture(tag: str, attributes: str, in_article: bool) -> int:
     if tag in FURNITURE_TAGS:
-        return True
+        return SURE
     if tag == "header" and not in_article:
-        return True
+        return SURE
+    found = 0
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if not FURNITURE_NAMES.isdisjoint(_WORD.findall(value)):
-                return True
+            for token in value.split():
+                words = set(_WORD.findall(token))
+                if not FURNITURE_NAMES.isdisjoint(words) and words <= FURNITURE_NAMES | LAYOUT_NAMES:
+                    found = NAMED
         elif name == "role" and value in FURNITURE_ROLES:
-            return True
+            return SURE
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return SURE
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return SURE
+    return found
+
+
+def _without_named(out: list, named: set[int]) -> list:
+    """Blocks outside elements named as furniture, but for those that hold most of the page.
+
+    These have more than half of the text with the page's heading or main element, or nearly all.
+    """
+    if not named:
+        return out
+    total = sum(len(t) for _, _, t in out)
+    for e in sorted(named):
+        held = [(p, t) for elements, p, t in out if e in elements]
+        n = sum(len(t) for _, t in held)
+        if 2 * n > total and (n > 0.9 * total or any(re.search(r"/(h1|main)(/|$)", p) for p, _ in held)):
+            named = named - {e}
+    return [b for b in out if named.isdisjoint(b[0])]
 
 
 def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
@@ -74,6 +104,7 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
     out: list = []
     stack: list[tuple[str, int, str, bool]] = [("", 0, "", False)]  # tag, element, path, furniture
     text: list[str] = []
+    named: set[int] = set()
     count = 0
 
     def flush():
@@ -117,8 +148,8 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
         if m[1]:
             if inline:
                 k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                if k and stack[k][3]:  # furniture held in an inline element
-                    text.clear()
+                if k:  # furniture held in an inline element
+                    flush()
                     close(k)
                 continue
             k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
@@ -127,12 +158,14 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
                 close(k)
             continue
         in_article = any(s[0] in ("article", "main") for s in stack)
-        bad = stack[-1][3] or _furniture(tag, m[3], in_article)
+        kind = SURE if stack[-1][3] else _furniture(tag, m[3], in_article)
         if inline:
-            if bad and not stack[-1][3] and tag != "br" and tag not in VOID:
+            if kind and not stack[-1][3] and tag not in VOID:
                 flush()
                 count += 1
-                stack.append((tag, count, stack[-1][2], True))
+                stack.append((tag, count, f"{stack[-1][2]}/{tag}", kind == SURE))
+                if kind == NAMED:
+                    named.add(count)
             continue
         flush()
         if tag in CLOSES_P:
@@ -150,9 +183,10 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
                 break
         if tag in VOID or m[3].endswith("/"):
             continue
-        bad = stack[-1][3] or bad
         count += 1
-        stack.append((tag, count, f"{stack[-1][2]}/{tag}", bad))
+        stack.append((tag, count, f"{stack[-1][2]}/{tag}", stack[-1][3] or kind == SURE))
+        if kind == NAMED:
+            named.add(count)
     if end < len(page) and skip_to is None:
         tail = page[end:]
         cut = tail.rfind("<")  # a tag that the page's end cuts off
@@ -160,7 +194,7 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
             tail = tail[:cut]
         text.append(tail)
     flush()
-    return out
+    return _without_named(out, named)
 
 
 def main_text(page: str | None, *, share: float = 0.35, reach: int = 1) -> str:
@@ -192,8 +226,15 @@ def main_text(page: str | None, *, share: float = 0.35, reach: int = 1) -> str:
             for e in elements:
                 held[e] = held.get(e, 0.0) + n
     whole = held[0]
-    # The deepest element with nearly all of the content text, else with most of it.
-    chosen = max((e for e, n in held.items() if n >= 0.5 * whole), key=lambda e: (held[e] >= 0.8 * whole, e))
+    tags = {e: t for elements, p, _ in found for e, t in zip(elements, p.split("/"), strict=True)}
+    above = {e: up for elements, _, _ in found for up, e in zip(elements, elements[1:], strict=False)}
+    # The outermost article or main element around most of the content, else the deepest around all.
+    marked = [e for e, n in held.items() if n >= 0.5 * whole and tags[e] in ("article", "main")]
+    chosen = min(marked) if marked else max(e for e, n in held.items() if n >= whole)
+    # Short paragraphs and headings beside the content's element belong to it.
+    beside = {elements[-2] for elements, p, _ in found if re.search(r"/(p|h[1-6])$", p)}
+    while not marked and above.get(chosen) in beside and tags[above[chosen]] not in ("", "html", "body"):
+        chosen = above[chosen]
     single = [i for i, (elements, _, _) in enumerate(found) if elements[-1] == chosen]
     if len(single) == 1 and len([1 for e, _, _ in found if chosen in e]) == 1:
         # one long block holds it all: its parent is the article
@@ -205,7 +246,7 @@ def main_text(page: str | None, *, share: float = 0.35, reach: int = 1) -> str:
     kept = [
         t
         for (elements, p, t), k in zip(found, of, strict=True)
-        if chosen in elements and (content[k] or not whole_page or re.search(r"/h[1-6]$", p))
+        if content[k] or chosen in elements and (not whole_page or re.search(r"/h[1-6]$", p))
     ]
     return "\n".join(kept)
 

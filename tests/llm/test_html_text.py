@@ -50,3 +50,16 @@ def test_rows(spark):
     got = sorted(((r.page_id or 0, r.n_chars, len(r.text)) for r in out.collect()))
     assert got == [(0, 0, 0), (1, got[1][1], got[1][1]), (1, got[1][1], got[1][1]), (2, 999_999, 999_999)]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("inner", ["section", "blockquote", "div"])
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_short_blocks_beside_long_ones(outer, inner):
+    page = f"<body><{outer}><h1>T</h1><p>Lead.</p><{inner}><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></{inner}><p>End.</p></{outer}></body>"
+    assert main_text(page).split("\n") == ["T", "Lead.", PARAGRAPH, PARAGRAPH, "End."]
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "post no-comments", "search-result", "social-policy", "widget"])
+def test_names_that_hold_the_content(name):
+    page = f"<body><div class=site-footer><p>{PARAGRAPH}</p></div><div class='{name}'><h1>T</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH} x</p></div></body>"
+    assert main_text(page).split("\n") == ["T", PARAGRAPH, f"{PARAGRAPH} x"]
