@@ -35,7 +35,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 STEP = 16
-TOLERANCE = 1e-5
+TOLERANCE = 1e-7
 BLOCK = 512
 BLOCK_BYTES = 1 << 20
 AT_ONCE = 1 << 18  # characters split into words at a time

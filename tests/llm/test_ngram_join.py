@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from lenstrail.llm import ngram_join as N
 
 
@@ -100,3 +102,13 @@ def test_edge_rows(spark):
 def test_pruning_keeps_what_can_reach_the_threshold():
     steps = N.least_matches(0.8, N.TOLERANCE)
     assert steps[-1][0] == N.HASHES and all(0 < m < 0.8 * n for n, m in steps[1:])
+
+
+def test_pairs_at_the_threshold_are_hardly_ever_dropped():
+    alive, at = np.ones(1), 0  # how likely m of `at` values agree and the pair is kept
+    for n, least in N.least_matches(0.8, N.TOLERANCE):
+        for _ in range(n - at):
+            alive = np.append(0.2 * alive, 0) + np.append(0, 0.8 * alive)
+        at = n
+        alive[:least] = 0
+    assert 1 - alive.sum() < 1e-5
