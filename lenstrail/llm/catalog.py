@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lenstrail.llm import (
+    conversation_repair,
     embedding_dedup,
+    exact_search,
     fingerprints,
     html_text,
     licenses,
@@ -17,6 +19,7 @@ from lenstrail.llm import (
     quality,
     suffix_dedup,
     toxicity,
+    vector_codes,
 )
 from lenstrail.llm.common import table
 
@@ -67,6 +70,18 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def vector_codes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_main_text": main_text,
@@ -78,9 +93,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_vectors": near_vectors,
     "op9_mix": mix_sources,
     "op10_toxicity": toxicity_scores,
+    "op11_conversation_repair": repaired_conversations,
+    "op12_vector_codes": vector_codes_of,
+    "op13_exact_search": nearest_vectors,
 }
 
 ORACLES: dict[str, str] = {
     "op8_near_vectors": embedding_dedup.ORACLE,
     "op9_mix": mixing.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
+    "op12_vector_codes": vector_codes.ORACLE,
+    "op13_exact_search": exact_search.ORACLE,
 }
