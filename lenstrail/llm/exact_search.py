@@ -168,7 +168,7 @@ def top_k(
     whole_rows = rows.where(usable()).select("vec_id", whole(scale).alias("components"))
     units = whole_rows.groupBy("vec_id", "components").agg(F.count("*").alias("copies"))
     units = cut_lineage(units.withColumn("uid", F.monotonically_increasing_id()))  # stored: a rerun of a task keeps its ids
-    norm = F.aggregate("components", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x * x).cast("decimal(38,0)"))
+    norm = F.aggregate("components", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     asks = F.coalesce(F.col("vec_id") % every == 0, F.lit(False))
     largest = F.max(F.coalesce(F.array_max(F.transform("components", F.abs)), F.lit(0)))
     facts = units.agg(
@@ -176,7 +176,7 @@ def top_k(
     ).first()
     if (facts.largest or 0) > LARGEST:
         raise ValueError(f"a scaled component of {facts.largest} is beyond {LARGEST}: sums would not fit a long")
-    bound = math.isqrt(int(facts.norm or 0)) + 1  # of a norm; no inner product is beyond its square
+    bound = math.ceil(math.sqrt(facts.norm or 0) * (1 + 1e-9)) + 1  # of a length; no inner product is beyond its square
     low, step = -bound * bound, -(-(2 * bound * bound + 1) // bins)
     slots, groups = max(LEAST_SLOTS, -(-facts.n // slot)), max(1, -(-facts.queries // group))
 
