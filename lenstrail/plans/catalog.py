@@ -69,7 +69,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mined_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.association_rules(transactions(spark, folder))
+    return stored(spark, folder, "rules")
 
 
 def tiled(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,8 +125,8 @@ def rule_rows(df: DataFrame) -> DataFrame:
 
 @query
 def json_layout(spark, folder):
-    files = raw_json.json_layout(spark, raw_json_path(spark, folder))
-    return files.groupBy("layout").agg(F.sum("lines").alias("lines"))
+    files = [raw_json.json_layout(spark, raw_json_path(spark, folder, form)) for form in ("json_lines", "json_array")]
+    return files[0].union(files[1]).groupBy("layout").agg(F.sum("records").alias("records"))
 
 
 @query
@@ -134,10 +134,34 @@ def schema_report(spark, folder):
     return raw_json.schema_report(spark, raw_json_path(spark, folder))
 
 
+def _json_photos(spark: SparkSession, folder: str, form: str) -> DataFrame:
+    layout = "json_array" if form == "json_array" else "json_lines"
+    records = raw_json.read_photos(spark, raw_json_path(spark, folder, form), layout=layout)
+    return photo_rows(clean.clean_photos(records))
+
+
 @query
 def json_clean_photos(spark, folder):
-    raw = raw_json.read_raw(spark, raw_json_path(spark, folder), schema=raw_json.raw_schema())
-    return photo_rows(clean.clean_photos(raw))
+    """Records one a line."""
+    return _json_photos(spark, folder, "json_lines")
+
+
+@query
+def json_array_photos(spark, folder):
+    """Records as elements of arrays, each on one line."""
+    return _json_photos(spark, folder, "json_array")
+
+
+@query
+def json_clean_aliases(spark, folder):
+    """Records that spell the date field in three ways."""
+    return _json_photos(spark, folder, "json_aliases")
+
+
+@query
+def json_clean_text_coordinates(spark, folder):
+    """Records of which every second has its coordinates as text."""
+    return _json_photos(spark, folder, "json_text_coordinates")
 
 
 @query
@@ -347,7 +371,8 @@ def top_itemsets(spark, folder):
 
 @query
 def assoc_rules(spark, folder):
-    return rule_rows(mined_rules(spark, folder))
+    """Mined here; the queries after this one start from the stored rules."""
+    return rule_rows(rules.association_rules(transactions(spark, folder)))
 
 
 @query

@@ -1,23 +1,33 @@
 """Stored stages that the registered queries start from.
 
 The analysis hands over tables between its steps: raw records, clean photos, photos with
-regions.  Each is derived from the given tables by Spark and written once per session to
-the shared folder, so that later queries scan flat, prunable columns.
+regions, and the rules mined from them.  Each is derived from the given tables by Spark and written once
+per session to the shared folder, so that later queries scan flat, prunable columns.
+
+A stage belongs to the files it was made from: their names, lengths and times are part of its key, so
+changed input is derived anew.  One thread writes a stage, others wait for it.  Spark's file system
+removes what a session stored when the session's JVM ends.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lenstrail.config import DATE_FIELDS
+from lenstrail.operators import rules
 from lenstrail.operators.clean import clean_photos
 from lenstrail.operators.enrich import enrich_roi
 from lenstrail.sources.derived_photos import derive_photos
-from lenstrail.sources.tables import shared_folder
+from lenstrail.sources.tables import file_listing, remove_at_exit, shared_folder
 
-STAGES = ("raw", "clean", "enriched")
+STAGES = ("raw", "clean", "enriched", "rules")
+SOURCES = ("events", "documents")
+RECORDS_A_FILE = 20_000
 
 
 def _build(spark: SparkSession, folder: str, stage: str) -> DataFrame:
@@ -27,29 +37,95 @@ def _build(spark: SparkSession, folder: str, stage: str) -> DataFrame:
         return clean_photos(stored(spark, folder, "raw"))
     if stage == "enriched":
         return enrich_roi(stored(spark, folder, "clean"))
+    if stage == "rules":
+        return rules.association_rules(rules.user_transactions(stored(spark, folder, "enriched")))
     raise ValueError(f"unknown stage {stage!r}")
 
 
-# Paths (and schemas) by application, source folder and stage.
-_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+Key = tuple[str, str, str, tuple]
+
+# Paths and schemas by application, source folder, stage and the files of the sources.
+_written: dict[Key, tuple[str, StructType]] = {}
+_locks: dict[Key, threading.RLock] = {}
+_guard = threading.Lock()
 
 
-def _once(spark: SparkSession, folder: str, stage: str, build, form: str) -> tuple[str, StructType]:
-    key = (spark.sparkContext.applicationId, folder, stage)
-    if key not in _written:
-        path = f"{shared_folder(spark)}/{stage}-{uuid.uuid4().hex}.{form}"
-        df = build()
-        df.write.format(form).option("compression", "gzip" if form == "json" else "snappy").save(path)
-        _written[key] = path, df.schema
+def _once(spark: SparkSession, folder: str, stage: str, write) -> tuple[str, StructType]:
+    """What `write(path)` stored and its schema; it is called once for each state of the input."""
+    files = tuple(file_listing(spark, f"{folder}/{name}.parquet") for name in SOURCES)
+    key = (spark.sparkContext.applicationId, folder, stage, files)
+    with _guard:
+        lock = _locks.setdefault(key, threading.RLock())
+    with lock:
+        if key not in _written:
+            root = f"{shared_folder(spark)}/stages-{key[0]}"
+            remove_at_exit(spark, root)
+            path = f"{root}/{stage}-{uuid.uuid4().hex}"
+            _written[key] = path, write(path)
     return _written[key]
 
 
 def stored(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     """Scan of a stage's table; writes it first if this session has not yet."""
-    path, schema = _once(spark, folder, stage, lambda: _build(spark, folder, stage), "parquet")
+
+    def write(path: str) -> StructType:
+        df = _build(spark, folder, stage)
+        df.write.parquet(path)
+        return df.schema
+
+    path, schema = _once(spark, folder, stage, write)
     return spark.read.schema(schema).parquet(path)
 
 
-def raw_json_path(spark: SparkSession, folder: str) -> str:
-    """The raw records as JSON Lines."""
-    return _once(spark, folder, "raw_json", lambda: stored(spark, folder, "raw"), "json")[0]
+# --- the raw records as JSON --------------------------------------------------------
+
+
+def _spelled(text: Column) -> Column:
+    """The date field under its three spellings in turn."""
+    name = F.get(F.array(*[F.lit(n) for n in DATE_FIELDS]), (F.xxhash64("id") % 3 + 3).cast("int") % 3)
+    return F.replace(text, F.lit(f'"{DATE_FIELDS[0]}":'), F.concat(F.lit('"'), name, F.lit('":')))
+
+
+def _write_lines(raw: DataFrame, path: str) -> None:
+    raw.write.json(path, compression="gzip")
+
+
+def _write_aliases(raw: DataFrame, path: str) -> None:
+    raw.select(_spelled(F.to_json(F.struct(*raw.columns))).alias("value")).write.text(path)
+
+
+def _write_text_coordinates(raw: DataFrame, path: str) -> None:
+    """Coordinates of every second record as text."""
+    position = F.struct(*[F.col(f"geoData.{c}").cast("string").alias(c) for c in ("latitude", "longitude")])
+    as_text = F.to_json(F.struct(*[position.alias(c) if c == "geoData" else F.col(c) for c in raw.columns]))
+    chosen = F.when(F.xxhash64("id") % 2 == 0, as_text).otherwise(F.to_json(F.struct(*raw.columns)))
+    raw.select(chosen.alias("value")).write.text(path)
+
+
+def _write_arrays(raw: DataFrame, path: str) -> None:
+    """Files that each are one array on one line."""
+    files = max(1, -(-raw.count() // RECORDS_A_FILE))
+    rows = raw.select(F.pmod(F.xxhash64("id"), F.lit(files)).alias("file"), "id", F.to_json(F.struct(*raw.columns)).alias("json"))
+    order = Window.partitionBy("file").orderBy("id", "json")
+    opening = F.when(F.row_number().over(order) == 1, "[").otherwise(",")
+    closing = F.when(F.lead("id").over(order).isNull(), "]").otherwise("")
+    rows.select("file", F.concat(opening, "json", closing).alias("value")).write.partitionBy("file").option("lineSep", " ").text(path)
+
+
+_FORMS = {
+    "json_lines": _write_lines,
+    "json_aliases": _write_aliases,
+    "json_text_coordinates": _write_text_coordinates,
+    "json_array": _write_arrays,
+}
+
+
+def raw_json_path(spark: SparkSession, folder: str, form: str = "json_lines") -> str:
+    """The raw records as JSON in one of its forms."""
+
+    def write(path: str) -> StructType:
+        raw = stored(spark, folder, "raw")
+        _FORMS[form](raw, path)
+        return raw.schema
+
+    return _once(spark, folder, form, write)[0]

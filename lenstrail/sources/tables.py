@@ -63,6 +63,31 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system of a path, and the path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def file_listing(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, length and time of every file under `path`, in order; none if it is missing."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return ()
+    files, out = fs.listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a folder when the session's JVM ends."""
+    fs, at = _file_system(spark, path)
+    fs.mkdirs(at)  # a path that is not there would be forgotten
+    fs.deleteOnExit(at)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors see: the one the cluster names in `spark.checkpoint.dir`.
 
@@ -73,7 +98,10 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         if not named and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lenstrail-"))
+        folder = named or tempfile.mkdtemp(prefix="lenstrail-")
+        if not named:
+            remove_at_exit(spark, folder)
+        context.setCheckpointDir(folder)
     return named or context.getCheckpointDir()
 
 

@@ -281,11 +281,15 @@ picked AS (
 _picked = _with(_RAW, _CLEAN, _ENRICHED, _TIMED, _PICKED)
 
 ORACLES: dict[str, str] = {
-    "json_layout": "SELECT 'json_lines' AS layout, count(*) AS lines FROM events",
+    "json_layout": """SELECT layout, count(*) AS records FROM events, (VALUES ('json_lines'), ('json_array')) AS l(layout)
+        GROUP BY layout""",
     "schema_report": """SELECT * FROM (VALUES ('dateTaken', 'string'), ('geoData.latitude', 'double'),
         ('geoData.longitude', 'double'), ('id', 'string'), ('owner.id', 'string'), ('tags[].value', 'string'),
         ('title', 'string')) AS t(path, type)""",
     "json_clean_photos": _CLEAN_PHOTOS,
+    "json_array_photos": _CLEAN_PHOTOS,
+    "json_clean_aliases": _CLEAN_PHOTOS,
+    "json_clean_text_coordinates": _CLEAN_PHOTOS,
     "alias_resolve": """SELECT 'other' AS "case", count(*) AS records, count(*) AS dated FROM events
         UNION ALL SELECT 'missing', count(*), 0 FROM events""",
     "clean_photos": _CLEAN_PHOTOS,

@@ -43,16 +43,16 @@ def test_layouts(spark, files):
 
 def test_layout_of_a_file_in_many_splits(spark, files):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
-    got = {r.path.rsplit("/", 1)[1]: (r.layout, r.lines) for r in raw_json.json_layout(spark, str(files)).collect()}
+    got = {r.path.rsplit("/", 1)[1]: (r.layout, r.records) for r in raw_json.json_layout(spark, str(files)).collect()}
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got["lines.json"] == ("json_lines", 90)
-    assert got["array.json"][0] == "json_array"
+    assert got["array.json"] == ("json_array", 90)
 
 
 @pytest.mark.parametrize("layout, name", [("json_lines", "lines.json"), ("json_array", "array.json")])
 def test_read_both_layouts(spark, files, layout, name):
     path = str(files / name)
-    df = raw_json.read_raw(spark, path, layout=layout, schema=raw_json.raw_schema())
+    df = raw_json.read_raw(spark, path, layout=layout)
     assert df.count() == 90
     assert df.filter("id = '3'").first().owner.id == "u3"
     report = dict(rows(raw_json.schema_report(spark, path, layout=layout)))
@@ -110,5 +110,5 @@ def test_full_run(spark, files, tmp_path):
     with pytest.raises(AnalysisException):
         run_all(spark, str(tmp_path / "nothing.json"), str(tmp_path / "out2"))
     with pytest.raises(ValueError):
-        raw = raw_json.read_raw(spark, str(files / "lines.json"), schema=raw_json.raw_schema())
+        raw = raw_json.read_photos(spark, str(files / "lines.json"))
         run_all(spark, raw.drop("dateTaken"), str(tmp_path / "out3"))
