@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lenstrail.config import CITY_BOX, DATE_FIELDS, DATE_FORMATS, Box
@@ -63,7 +63,11 @@ def clean_photos(
 
     A narrow transformation: the output keeps the partitioning of the scan.
     """
-    flat = flatten(raw, date_fields=date_fields, formats=formats).filter(
+    return _valid(flatten(raw, date_fields=date_fields, formats=formats), box)
+
+
+def _valid(flat: DataFrame, box: Box | None) -> DataFrame:
+    known = flat.filter(
         F.col("user_id").isNotNull()
         & F.col("timestamp").isNotNull()
         & F.col("latitude").isNotNull()
@@ -71,7 +75,7 @@ def clean_photos(
         & (F.col("latitude") != 0.0)
         & (F.col("longitude") != 0.0)
     )
-    return geofence(flat, box) if box else flat
+    return geofence(known, box) if box else known
 
 
 def reject_reason(box: Box | None = CITY_BOX) -> Column:
@@ -85,6 +89,24 @@ def reject_reason(box: Box | None = CITY_BOX) -> Column:
     return reason.when(~in_box(box), "outside_city") if box else reason
 
 
+REASONS = ("no_user", "bad_date", "no_position", "zero_position", "outside_city")
+
+
+def _counts(box: Box | None) -> list[Column]:
+    reason = reject_reason(box)
+    return [
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(reason.isNull()).alias("clean"),
+        F.count(reason).alias("dropped"),
+        *[F.count_if(reason == name).alias(name) for name in REASONS],
+    ]
+
+
+def _with_pct(counts: DataFrame) -> DataFrame:
+    pct = F.coalesce(F.try_divide(F.col("dropped") * 100.0, F.col("raw")), F.lit(0.0))
+    return counts.withColumn("drop_pct", pct)
+
+
 def clean_report(
     raw: DataFrame,
     *,
@@ -93,19 +115,31 @@ def clean_report(
     box: Box | None = CITY_BOX,
 ) -> DataFrame:
     """One row: raw, clean, dropped, drop_pct and one count per reject reason, in one pass."""
-    reason = F.col("reason")
-    counts = (
-        flatten(raw, date_fields=date_fields, formats=formats)
-        .select(reject_reason(box).alias("reason"))
-        .agg(
-            F.count("*").alias("raw"),
-            F.count_if(reason.isNull()).alias("clean"),
-            F.count("reason").alias("dropped"),
-            *[
-                F.count_if(reason == name).alias(name)
-                for name in ("no_user", "bad_date", "no_position", "zero_position", "outside_city")
-            ],
-        )
-    )
-    pct = F.coalesce(F.try_divide(F.col("dropped") * 100.0, F.col("raw")), F.lit(0.0))
-    return counts.withColumn("drop_pct", pct)
+    return _with_pct(flatten(raw, date_fields=date_fields, formats=formats).agg(*_counts(box)))
+
+
+class Cleaning:
+    """Cleaned photos and, once an action has read them all, the report of the same pass.
+
+    Use a frame of a session of its own (`tables.own_session`): in Spark 4.1 a session that has observed
+    can no longer be shipped to executors, which fitted models try, as they hold the session they were fitted in.
+    """
+
+    def __init__(
+        self,
+        raw: DataFrame,
+        *,
+        date_fields: Sequence[str] = DATE_FIELDS,
+        formats: Sequence[str] = DATE_FORMATS,
+        box: Box | None = CITY_BOX,
+    ):
+        self._seen = Observation()
+        flat = flatten(raw, date_fields=date_fields, formats=formats)
+        self.photos = _valid(flat.observe(self._seen, *_counts(box)), box)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """As `clean_report`, from what the first action on `photos` counted; waits for that action."""
+        counts = self._seen.get
+        names = ("raw", "clean", "dropped", *REASONS)
+        row = [tuple(counts.get(n, 0) for n in names)]
+        return _with_pct(spark.createDataFrame(row, ", ".join(f"{n} long" for n in names)))

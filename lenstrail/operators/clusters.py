@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lenstrail.config import ROIS, Roi
@@ -45,6 +45,55 @@ def kmeans_clusters(df: DataFrame, *, k: int = 10, seed: int = 1) -> DataFrame:
     return assign_nearest(df, fit_centres(df, k=k, seed=seed))
 
 
+def centre_facts(df: DataFrame, centres: Centres) -> DataFrame:
+    """What a K-Means result must satisfy, per cluster: photos, strays and offset.
+
+    `strays` are members that another centre is nearer to; `offset` is the distance in degrees of the centre
+    from the mean of its members, which the last round of training bounds.  Every member is
+    compared with every centre; what is shuffled is one row per cluster and task.
+    """
+    lat, lon = F.col("latitude"), F.col("longitude")
+    squares = F.array(*[F.struct(((lat - a) * (lat - a) + (lon - b) * (lon - b)).alias("square"), F.lit(i).alias("cluster")) for i, a, b in centres])
+    mine = F.get(F.filter(squares, lambda s: s.cluster == F.col("cluster")), 0).square
+    stray = mine > F.array_min(F.transform(squares, lambda s: s.square))
+    held = df.groupBy("cluster").agg(
+        F.count("*").alias("photos"), F.count_if(stray).alias("strays"), F.avg("latitude").alias("_lat"), F.avg("longitude").alias("_lon")
+    )
+    at = F.create_map(*[x for i, a, b in centres for x in (F.lit(i), F.array(F.lit(a), F.lit(b)))])[F.col("cluster")]
+    return held.select("cluster", "photos", "strays", F.hypot(F.col("_lat") - at[0], F.col("_lon") - at[1]).alias("offset"))
+
+
+def exact_silhouette(clustered: DataFrame) -> DataFrame:
+    """Mean squared-Euclidean silhouette of all rows, from sums per cluster.
+
+    The mean squared distance of a point to a cluster is |p|^2 - 2 p.s / n + q / n, with the cluster's
+    size n, sum s and sum of squares q; so one row per cluster is all that points are compared with.
+    A point alone in its cluster counts 0, as does one cluster in all.
+    """
+    lat, lon = F.col("latitude"), F.col("longitude")
+    origin = clustered.agg(F.avg(lat), F.avg(lon)).first()  # near the points, so that little is lost by subtraction
+    moved = clustered.where(lat.isNotNull() & lon.isNotNull() & F.col("cluster").isNotNull()).select(
+        "cluster", (lat - F.lit(origin[0])).alias("y"), (lon - F.lit(origin[1])).alias("x")
+    )
+    sums = moved.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum("x").alias("sx"), F.sum(F.col("y") * F.col("y") + F.col("x") * F.col("x")).alias("q")
+    )
+    # One row per cluster, as many as were asked for.
+    known = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("cluster", "n", "sy", "sx", "q")]) for r in sums.collect()])
+    square = F.col("y") * F.col("y") + F.col("x") * F.col("x")
+
+    def total(c: Column) -> Column:
+        """Sum of squared distances from a point to the members of a cluster."""
+        return F.greatest(square * c.n - 2 * (F.col("y") * c.sy + F.col("x") * c.sx) + c.q, F.lit(0.0))
+
+    own = F.get(F.transform(F.filter("known", lambda c: c.cluster == F.col("cluster")), lambda c: F.when(c.n > 1, total(c) / (c.n - 1))), 0)
+    other = F.array_min(F.transform(F.filter("known", lambda c: c.cluster != F.col("cluster")), lambda c: total(c) / c.n))
+    value = F.try_divide(F.col("other") - F.col("own"), F.greatest("other", "own"))
+    scored = moved.withColumn("known", known).withColumns({"own": own, "other": other})
+    either = F.col("own").isNull() | F.col("other").isNull()
+    return scored.agg(F.avg(F.when(either, 0.0).otherwise(F.coalesce(value, F.lit(0.0)))).alias("silhouette"))
+
+
 def silhouette(clustered: DataFrame, *, fraction: float = 1.0, seed: int = 1) -> DataFrame:
     """One row: mean squared-Euclidean silhouette of all rows, or of a sample on request."""
     rows = clustered.select("latitude", "longitude", F.col("cluster").cast("int").alias("prediction"))

@@ -2,83 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lenstrail.config import ROIS, UNKNOWN_ROI, Roi
 from lenstrail.functions.columns import is_known_roi, roi_label
+from lenstrail.operators.cells import BUSY, MAX_BROADCAST_CELLS, enrich_boxes
+from lenstrail.sources.tables import roi_table
 
 # A CASE chain is evaluated box by box, so it stops paying off with many boxes.
 MAX_CASE_ROIS = 64
-# Upper bound for the cells that are broadcast (about 100 bytes each).
-MAX_BROADCAST_CELLS = 200_000
-
-
-def _span(low: float, high: float, cell: float) -> range:
-    return range(math.floor(low / cell), math.floor(high / cell) + 1)
-
-
-def count_cells(rois: Sequence[Roi], cell_deg: float) -> int:
-    """Exact number of (box, cell) pairs the grid join will hold."""
-    return sum(
-        len(_span(r.lat_min, r.lat_max, cell_deg)) * len(_span(r.lon_min, r.lon_max, cell_deg)) for r in rois
-    )
-
-
-def roi_cells(spark: SparkSession, rois: Sequence[Roi], cell_deg: float) -> DataFrame:
-    """One row per grid cell that any box touches, with its boxes in priority order."""
-    fields = ("lat_min", "lat_max", "lon_min", "lon_max")
-    boxes = spark.createDataFrame(
-        pa.table(
-            {
-                "priority": pa.array(range(len(rois)), pa.int32()),
-                "roi": pa.array([r.name for r in rois], pa.string()),
-                **{f: pa.array([getattr(r, f) for r in rois], pa.float64()) for f in fields},
-            }
-        )
-    )
-
-    def cells(low: str, high: str):
-        return F.explode(F.sequence(F.floor(F.col(low) / cell_deg), F.floor(F.col(high) / cell_deg)))
-
-    return (
-        boxes.withColumn("cell_lat", cells("lat_min", "lat_max"))
-        .withColumn("cell_lon", cells("lon_min", "lon_max"))
-        .groupBy("cell_lat", "cell_lon")
-        .agg(F.array_sort(F.collect_list(F.struct("priority", "roi", *fields))).alias("boxes"))
-    )
-
-
-def _grid_labels(
-    df: DataFrame, rois: Sequence[Roi], cell_deg: float, default: str, max_broadcast: int, salts: int
-) -> DataFrame:
-    cells = roi_cells(df.sparkSession, rois, cell_deg)
-    keys = ["cell_lat", "cell_lon"]
-    points = df.withColumn("cell_lat", F.floor(F.col("latitude") / cell_deg)).withColumn(
-        "cell_lon", F.floor(F.col("longitude") / cell_deg)
-    )
-    if count_cells(rois, cell_deg) <= max_broadcast:
-        cells = F.broadcast(cells)
-    else:
-        # Both sides shuffle.  Points of a busy cell are spread over `salts` tasks.
-        keys.append("salt")
-        own = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-        points = points.withColumn("salt", F.pmod(F.xxhash64(*own), F.lit(salts)))
-        cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1))))
-    holding = F.filter(
-        "boxes",
-        lambda b: F.col("latitude").between(b.lat_min, b.lat_max)
-        & F.col("longitude").between(b.lon_min, b.lon_max),
-    )
-    return (
-        points.join(cells, keys, "left")
-        .withColumn("roi", F.coalesce(F.get(holding, 0).roi, F.lit(default)))
-        .select(*df.columns, "roi")
-    )
 
 
 def enrich_roi(
@@ -86,24 +21,22 @@ def enrich_roi(
     rois: Sequence[Roi] = ROIS,
     *,
     strategy: str = "auto",
-    cell_deg: float = 0.005,
     default: str = UNKNOWN_ROI,
     max_broadcast_cells: int = MAX_BROADCAST_CELLS,
-    salts: int = 16,
+    busy: int = BUSY,
 ) -> DataFrame:
     """Add `roi`: the first box, by position in `rois`, that holds the point.
 
-    `case` is one CASE expression, `grid` an equi-join on grid cells that never multiplies
-    rows; `auto` takes `case` up to 64 boxes.  The grid join broadcasts its cells only
-    while their exact number is within `max_broadcast_cells` and shuffles with salted
-    keys beyond it.
+    `case` is one CASE expression, `grid` joins on cells of several levels (see `cells`), one row
+    per point throughout; `auto` takes `case` up to 64 boxes.
     """
     if strategy == "auto":
         strategy = "case" if len(rois) <= MAX_CASE_ROIS else "grid"
     if strategy == "case":
         return df.withColumn("roi", roi_label(rois, default=default))
     if strategy == "grid":
-        return _grid_labels(df, rois, cell_deg, default, max_broadcast_cells, salts)
+        boxes = roi_table(df.sparkSession, rois)
+        return enrich_boxes(df, boxes, default=default, max_broadcast_cells=max_broadcast_cells, busy=busy)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lenstrail.config import MANY_ROIS, RESIDENT_DAYS, TOURIST_DAYS
@@ -74,14 +74,14 @@ def top_contributors(profiles: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def user_relevance_model(
+def fit_relevance(
     profiles: DataFrame,
     *,
     num_trees: int = 100,
     seed: int = 42,
     train_share: float = 0.8,
-) -> DataFrame:
-    """Predictions of a random forest for the held-out users.
+) -> tuple[RandomForestClassificationModel, DataFrame]:
+    """A random forest over the users of the training share, and the held-out users with their features.
 
     The label is a rule over two of the features, so near-perfect accuracy is expected.
     The split hashes user_id and does not change with the partitioning.  Training makes
@@ -91,8 +91,62 @@ def user_relevance_model(
     vectors = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features").transform(data)
     train, test = hash_split(vectors, "user_id", train_share)
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=num_trees, seed=seed)
-    predicted = forest.fit(train).transform(test)
-    return predicted.select("user_id", *MODEL_FEATURES, "label", "prediction")
+    return forest.fit(train), test
+
+
+def user_relevance_model(profiles: DataFrame, **options) -> DataFrame:
+    """Predictions of a random forest for the held-out users."""
+    model, test = fit_relevance(profiles, **options)
+    return model.transform(test).select("user_id", *MODEL_FEATURES, "label", "prediction")
+
+
+def forest_nodes(model: RandomForestClassificationModel, folder: str) -> DataFrame:
+    """The trees as rows, written under `folder`: (tree, node, feature, threshold, left, right, votes).
+
+    A leaf has no feature.  `votes` is the share of each class among a node's training rows.
+    """
+    model.write().overwrite().save(folder)
+    node = F.col("nodeData")
+    total = F.aggregate(node.impurityStats, F.lit(0.0), lambda a, x: a + x)
+    leaf = node.leftChild < 0
+    return SparkSession.active().read.parquet(f"{folder}/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("node"),
+        F.when(~leaf, F.get(F.array(*[F.lit(f) for f in MODEL_FEATURES]), node.split.featureIndex)).alias("feature"),
+        F.when(~leaf, F.get(node.split.leftCategoriesOrThreshold, 0)).alias("threshold"),
+        F.when(~leaf, node.leftChild).alias("left"),
+        F.when(~leaf, node.rightChild).alias("right"),
+        F.transform(node.impurityStats, lambda x: x / total).alias("votes"),
+    )
+
+
+def route(users: DataFrame, nodes: DataFrame, *, depth: int = 5) -> DataFrame:
+    """Predictions of a forest of node rows: (user_id, prediction), by a join per level of the trees.
+
+    Trees are bounded by their number and depth, so nodes are broadcast; users stay where they are.
+    Votes of the trees are added in order, as the model adds them; a tie goes to the lower class.
+    """
+    trees = nodes.agg(F.max("tree")).first()[0] + 1
+    if nodes.count() > trees * 2 ** (depth + 1):
+        raise ValueError("trees are deeper than stated")
+    table = F.broadcast(nodes.withColumnsRenamed({"tree": "_tree", "node": "_node"}))
+    at = users.select("user_id", F.map_from_arrays(F.array(*[F.lit(f) for f in MODEL_FEATURES]), F.array(*[F.col(f).cast("double") for f in MODEL_FEATURES])).alias("values"))
+    at = at.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(0))
+    for _ in range(depth):
+        here = at.join(table, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")))
+        goes = F.when(F.element_at("values", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = here.select("user_id", "values", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(goes).alias("node"))
+    ends = at.join(table, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")))
+    votes = F.array_sort(F.collect_list(F.struct("tree", "votes")))
+
+    def added(of: int):
+        return F.aggregate("votes", F.lit(0.0), lambda a, v: a + v["votes"][of])
+
+    return (
+        ends.groupBy("user_id")
+        .agg(votes.alias("votes"))
+        .select("user_id", F.when(added(1) > added(0), 1.0).otherwise(0.0).alias("prediction"))
+    )
 
 
 def accuracy(predictions: DataFrame) -> DataFrame:

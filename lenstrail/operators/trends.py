@@ -65,6 +65,28 @@ def overview_kpis(df: DataFrame, *, min_plausible_year: int = FIRST_PLAUSIBLE_YE
     ).withColumn("users", users)
 
 
+def user_sketches(df: DataFrame, *, lg_k: int = 12) -> DataFrame:
+    """(roi, day, photos, users): photos and a mergeable sketch of their users, per region and day.
+
+    A sketch has at most 2**lg_k bytes, however many users it stands for; NULL users count in photos only.
+    """
+    return df.groupBy("roi", F.to_date("timestamp").alias("day")).agg(
+        F.count("*").alias("photos"), F.hll_sketch_agg("user_id", lg_k).alias("users")
+    )
+
+
+def sketched_overview(sketches: DataFrame, *by: str) -> DataFrame:
+    """Photos and estimated users per `by`, from sketches that any filter may have thinned out.
+
+    Sketches are merged, so a user of several days or regions counts once.  The standard error is
+    about 1.04 / sqrt(2**lg_k), 1.6 % for 12.
+    """
+    return sketches.groupBy(*by).agg(
+        F.coalesce(F.sum("photos"), F.lit(0)).alias("photos"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("users")), F.lit(0)).alias("users"),
+    )
+
+
 def filter_photos(
     df: DataFrame,
     *,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lenstrail.functions.columns import is_known_roi, localness
@@ -90,12 +90,14 @@ def local_spots(gems: DataFrame, n: int = 10) -> DataFrame:
     return gems.select("roi", "localness_index").orderBy(F.desc("localness_index"), "roi").limit(n)
 
 
-def od_matrix(df: DataFrame, profiles: DataFrame) -> DataFrame:
+def od_matrix(df: DataFrame, profiles: DataFrame, *, max_gap: int | None = None) -> DataFrame:
     """Moves between known regions: (source, target, user_type, weight).
 
     A move joins two consecutive photos of a user, in time order, that lie in different
     regions; photos of the same second are ordered by region name.  Repeated (user,
     second, region) rows can only give moves within a region and are dropped first.
+    With `max_gap`, photos more than so many seconds apart make no move: the later one begins
+    another stay in the city.
 
     The sequence is cut by day.  A first window finds the moves inside a day; they are
     counted, and only the first and last row of each day keep their time.  A second window
@@ -111,22 +113,31 @@ def od_matrix(df: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     in_day = Window.partitionBy("user_id", "day").orderBy("timestamp", "roi")
     steps = visits.withColumns(
-        {"next_roi": F.lead("roi").over(in_day), "previous_roi": F.lag("roi").over(in_day)}
+        {
+            "next_roi": F.lead("roi").over(in_day),
+            "next_at": F.lead("timestamp").over(in_day),
+            "previous_roi": F.lag("roi").over(in_day),
+        }
     )
-    day_end = F.col("next_roi").isNull() | F.col("previous_roi").isNull()
+    last = F.col("next_roi").isNull()
+    day_end = last | F.col("previous_roi").isNull()
+    moved = (F.col("roi") != F.col("next_roi")) & _near("timestamp", "next_at", max_gap)
     short = (
-        steps.filter(day_end | (F.col("roi") != F.col("next_roi")))
+        steps.filter(day_end | moved)
         .groupBy(
             "user_id",
             F.col("roi").alias("source"),
-            F.col("next_roi").alias("target"),
+            F.when(moved, F.col("next_roi")).alias("target"),
+            last.alias("last"),
             F.when(day_end, F.col("timestamp")).alias("at"),
         )
         .agg(F.count("*").alias("n"))
     )
-    next_day = F.lead("source").over(Window.partitionBy("user_id").orderBy("at", "source"))
+    days = Window.partitionBy("user_id").orderBy("at", "source")
+    linked = short.withColumns({"next_day": F.lead("source").over(days), "next_at": F.lead("at").over(days)})
+    over_night = F.when(F.col("last") & _near("at", "next_at", max_gap), F.col("next_day"))
     per_user = (
-        short.withColumn("target", F.coalesce("target", next_day))
+        linked.withColumn("target", F.coalesce("target", over_night))
         .filter(F.col("target").isNotNull() & (F.col("source") != F.col("target")))
         .groupBy("user_id", "source", "target")
         .agg(F.sum("n").alias("n"))
@@ -137,3 +148,43 @@ def od_matrix(df: DataFrame, profiles: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("weight"))
         .orderBy(F.desc("weight"), "source", "target", "user_type")
     )
+
+
+def _near(before: str, after: str, max_gap: int | None) -> Column:
+    """Whether two times are at most `max_gap` seconds apart."""
+    if max_gap is None:
+        return F.lit(True)
+    return F.unix_seconds(after) - F.unix_seconds(before) <= max_gap
+
+
+def stays(df: DataFrame, *, max_gap: int) -> DataFrame:
+    """Stretches of a user's photos without a pause above `max_gap` seconds: (user_id, first, last, photos).
+
+    Islands are found in each day of a user by itself; there are at most a day's length / `max_gap` + 1 of
+    them.  A second window over these short rows joins the ones that go on over midnight, so no
+    task holds all photos of a busy user.  Photos with NULL user or time are left out.
+    """
+    photos = (
+        df.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull())
+        .groupBy("user_id", "timestamp")
+        .agg(F.count("*").alias("n"))
+        .withColumn("day", F.to_date("timestamp"))
+    )
+
+    def islands(rows: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(start)
+        opens = F.when(F.col("_before").isNull() | ~_near("_before", start, max_gap), 1).otherwise(0)
+        return rows.withColumn("_before", F.lag(end).over(order)).withColumn("_opens", opens).withColumn("island", F.sum("_opens").over(order))
+
+    in_day = (
+        islands(photos, ["user_id", "day"], "timestamp", "timestamp")
+        .groupBy("user_id", "day", "island")
+        .agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"), F.sum("n").alias("photos"))
+        .drop("island")
+    )
+    return (
+        islands(in_day, ["user_id"], "first", "last")
+        .groupBy("user_id", "island")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("photos").alias("photos"))
+        .drop("island")
+    )

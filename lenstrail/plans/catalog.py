@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lenstrail.config import CITY_BOX, DATE_FIELDS, ROIS
-from lenstrail.functions.columns import is_known_roi, parse_timestamp
+from lenstrail.functions.columns import from_year, is_known_roi, parse_timestamp
 from lenstrail.operators import (
+    cells,
     clean,
     clusters,
     density,
@@ -22,9 +23,10 @@ from lenstrail.operators import (
     trends,
     views,
 )
-from lenstrail.plans.stages import raw_json_path, stored
+from lenstrail.plans.stages import raw_json_path, scratch_path, stored, stored_path
 from lenstrail.sources import raw_json
-from lenstrail.sources.tables import cut_lineage, roi_table
+from lenstrail.sources.tables import cut_lineage, own_session, read_or_empty, roi_table, spread, standard_names, write_table
+from lenstrail.streaming import hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +205,37 @@ def timestamp_parse(spark, folder):
     ).select("photo_id", text_time("timestamp"))
 
 
+@query
+def clean_report_observed(spark, folder):
+    """The report of the pass that writes the clean photos."""
+    raw = raw_photos(spark, folder)
+    path = stored_path(spark, folder, "raw")
+    cleaning = clean.Cleaning(own_session(spark).read.schema(raw.schema).parquet(path))
+    write_table(cleaning.photos, scratch_path(spark))
+    return rounded(cleaning.report(spark), "drop_pct")
+
+
+@query
+def table_round_trip(spark, folder):
+    """Photos through every kind of sink and back: plain, partitioned, replaced, empty, missing."""
+    base = scratch_path(spark)
+    shown = timed(spark, folder).withColumnRenamed("roi", "roi_name")
+    plain = write_table(shown.drop("tags"), f"{base}/plain", max_records_per_file=5000)
+    parted = write_table(plain, f"{base}/parted", partition_by=["year"])
+    write_table(plain, f"{base}/again")
+    again = write_table(plain.where(F.col("roi_name") != "Unknown"), f"{base}/again")
+    write_table(plain.limit(0), f"{base}/none", skip_empty=True)
+    missing = read_or_empty(spark, f"{base}/none", plain.schema)
+    frames = {"plain": plain, "partitioned": parted, "replaced": again, "missing": missing}
+    parts = [
+        standard_names(df).agg(
+            F.lit(name).alias("table"), F.count("*").alias("photos"), F.count_distinct("roi").alias("rois"), F.count_distinct("year").alias("years")
+        )
+        for name, df in frames.items()
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
 # --- regions ----------------------------------------------------------------------
 
 
@@ -216,6 +249,48 @@ def roi_enrich_grid(spark, folder):
     return enrich.enrich_roi(photos(spark, folder), strategy="grid").select("photo_id", "roi")
 
 
+def order_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """A box for every order, somewhere in the city, from some metres to a fifth of a degree wide."""
+    key = F.col("o_orderkey")
+    orders = spread(spark.read.parquet(f"{folder}/orders.parquet"))
+    side = (50 * F.pow(F.lit(2.0), key % 13)).cast("long")
+    south, west = 41_600_000 + key * 7919 % 600_000, 12_200_000 + key * 104_729 % 600_000
+    return orders.select(
+        F.concat(F.lit("o"), key.cast("string")).alias("roi"),
+        key.cast("int").alias("priority"),
+        (south / 1_000_000.0).alias("lat_min"),
+        ((south + side) / 1_000_000.0).alias("lat_max"),
+        (west / 1_000_000.0).alias("lon_min"),
+        ((west + side * (key % 3 + 1)) / 1_000_000.0).alias("lon_max"),
+    )
+
+
+@query
+def enrich_many_boxes(spark, folder):
+    return cells.enrich_boxes(photos(spark, folder), order_boxes(spark, folder)).select("photo_id", "roi")
+
+
+@query
+def enrich_many_boxes_shuffled(spark, folder):
+    """The same where cells are too many to broadcast and places are busy."""
+    boxes = order_boxes(spark, folder)
+    return cells.enrich_boxes(photos(spark, folder), boxes, max_broadcast_cells=0, busy=500).select("photo_id", "roi")
+
+
+@query
+def stream_hourly_roi(spark, folder):
+    """Photos per region and hour, read as a stream in several micro-batches.
+
+    Photos of all years come in any order, so none may be late; the state is one count an hour and region.
+    """
+    source = photos(spark, folder)
+    files = max(1, len(source.inputFiles()) // 4)
+    stream = hourly.photo_stream(spark, stored_path(spark, folder, "clean"), source.schema, files=files)
+    out = scratch_path(spark)
+    hourly.keep_updates(hourly.hourly_rois(stream, late="1000000 days"), out).awaitTermination()
+    return hourly.latest(spark, out).select(text_time("hour"), "roi", "count")
+
+
 @query
 def roi_capture_stats(spark, folder):
     return rounded(enrich.roi_capture_stats(enriched(spark, folder)), "mapped_share")
@@ -274,6 +349,50 @@ def overview_kpis(spark, folder):
     return trends.overview_kpis(enriched(spark, folder))
 
 
+@query
+def overview_sketch(spark, folder):
+    """Users by region from sketches per day, for the real years; `within` tells if the estimate is within 5 %."""
+    shown = enriched(spark, folder).filter(from_year(2000))
+    sketches = trends.user_sketches(shown)
+    estimated = trends.sketched_overview(sketches, "roi").unionByName(trends.sketched_overview(sketches).withColumn("roi", F.lit("all")))
+    exact = shown.groupBy("roi").agg(F.count_distinct("user_id").alias("exact"))
+    exact = exact.unionByName(shown.agg(F.count_distinct("user_id").alias("exact")).withColumn("roi", F.lit("all")))
+    within = F.abs(F.col("users") - F.col("exact")) <= F.col("exact") * 0.05
+    return estimated.join(exact, "roi").select("roi", "photos", F.col("exact").alias("users"), within.alias("within"))
+
+
+@query
+def rf_routes(spark, folder):
+    """Held-out users routed through the trees as rows; `as_model`: the model predicts the same."""
+    model, test = profiles.fit_relevance(user_table(spark, folder))
+    routed = profiles.route(test, profiles.forest_nodes(model, scratch_path(spark)))
+    both = model.transform(test).join(routed.withColumnRenamed("prediction", "routed"), "user_id")
+    return both.select("user_id", "label", (F.col("prediction") == F.col("routed")).alias("as_model"))
+
+
+@query
+def rf_facts(spark, folder):
+    """Held-out users of the forest, and whether it is right about more of them than the commoner label is."""
+    found = profiles.user_relevance_model(user_table(spark, folder))
+    right = F.count_if(F.col("prediction") == F.col("label"))
+    common = F.greatest(F.count_if(F.col("label") == 1.0), F.count_if(F.col("label") == 0.0))
+    return found.agg(F.count("*").alias("users"), F.count_if(F.col("label") == 1.0).alias("relevant"), (right >= common).alias("better"))
+
+
+@query
+def split_counts(spark, folder):
+    """Users in the training and the held-out share."""
+    parts = sampling.hash_split(user_table(spark, folder).select("user_id", "total_photos"), "user_id", 0.8)
+    rows = [p.agg(F.lit(n).alias("part"), F.count("*").alias("users"), F.sum("total_photos").alias("photos")) for n, p in zip(("train", "test"), parts, strict=True)]
+    return rows[0].unionAll(rows[1])
+
+
+@query
+def photo_sample(spark, folder):
+    """A fifth of the photos, by the md5 of their ids."""
+    return sampling.bernoulli_sample(enriched(spark, folder).select("photo_id", "roi"), 0.2, seed=1, keys=["photo_id"])
+
+
 @query
 def user_segments(spark, folder):
     return rounded(profiles.user_segments(user_table(spark, folder)), "share")
@@ -315,6 +434,19 @@ def od_matrix(spark, folder):
     return views.od_matrix(enriched(spark, folder), user_table(spark, folder))
 
 
+@query
+def od_matrix_gap(spark, folder):
+    """Moves between photos at most six hours apart."""
+    return views.od_matrix(enriched(spark, folder), user_table(spark, folder), max_gap=6 * 3600)
+
+
+@query
+def user_stays(spark, folder):
+    """Stretches of photos without a pause of more than six hours."""
+    found = views.stays(enriched(spark, folder), max_gap=6 * 3600)
+    return found.select("user_id", text_time("first"), text_time("last"), "photos")
+
+
 @query
 def hidden_gems(spark, folder):
     return rounded(views.hidden_gems(enriched(spark, folder), user_table(spark, folder)), "localness_index")
@@ -571,6 +703,32 @@ def kmeans_silhouette(spark, folder):
     return clusters.silhouette(clusters.kmeans_clusters(enriched(spark, folder)))
 
 
+@query
+def kmeans_facts(spark, folder):
+    """Clusters, photos, photos nearer to another centre, and whether centres lie at their members' mean."""
+    shown = enriched(spark, folder)
+    centres = clusters.fit_centres(shown)
+    facts = clusters.centre_facts(clusters.assign_nearest(shown, centres), centres)
+    return facts.agg(
+        F.count("*").alias("clusters"), F.sum("photos").alias("photos"), F.sum("strays").alias("strays"), (F.max("offset") < 0.01).alias("centred")
+    )
+
+
+@query
+def silhouette_facts(spark, folder):
+    """The trained clusters' silhouette against the one from sums per cluster."""
+    clustered = cut_lineage(clusters.kmeans_clusters(enriched(spark, folder)).select("latitude", "longitude", "cluster"))
+    exact, fitted = clusters.exact_silhouette(clustered).scalar(), clusters.silhouette(clustered)
+    value = F.col("silhouette")
+    return fitted.select((F.abs(value - exact) < 1e-6).alias("as_evaluator"), value.between(-1, 1).alias("in_range"))
+
+
+@query
+def exact_silhouette(spark, folder):
+    value = clusters.exact_silhouette(tiled(spark, folder))
+    return value.withColumn("silhouette", F.round("silhouette", 4))
+
+
 @query
 def cluster_silhouette(spark, folder):
     """All rows, reproducible clusters."""

@@ -58,13 +58,23 @@ def _once(spark: SparkSession, folder: str, stage: str, write) -> tuple[str, Str
         lock = _locks.setdefault(key, threading.RLock())
     with lock:
         if key not in _written:
-            root = f"{shared_folder(spark)}/stages-{key[0]}"
-            remove_at_exit(spark, root)
-            path = f"{root}/{stage}-{uuid.uuid4().hex}"
+            path = scratch_path(spark, stage)
             _written[key] = path, write(path)
     return _written[key]
 
 
+def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
+    """A new path in the shared folder, removed when the session's JVM ends."""
+    root = f"{shared_folder(spark)}/stages-{spark.sparkContext.applicationId}"
+    remove_at_exit(spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_path(spark: SparkSession, folder: str, stage: str) -> str:
+    """Where a stage's table lies, once it has been read."""
+    return stored(spark, folder, stage).inputFiles()[0].rsplit("/", 1)[0]
+
+
 def stored(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     """Scan of a stage's table; writes it first if this session has not yet."""
 

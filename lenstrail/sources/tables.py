@@ -57,6 +57,14 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """Another session of the same application, with the settings of `spark` that results depend on."""
+    other = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.caseSensitive", "spark.sql.shuffle.partitions"):
+        other.conf.set(name, spark.conf.get(name))
+    return other
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a scan that has fewer splits than cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism

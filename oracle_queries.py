@@ -280,6 +280,23 @@ picked AS (
 )"""
 _picked = _with(_RAW, _CLEAN, _ENRICHED, _TIMED, _PICKED)
 
+def _uniform(seed: str, column: str) -> str:
+    return f"""CAST('0x' || substr(md5('{seed}|' || {column}), 1, 12) AS BIGINT) / 281474976710656::DOUBLE"""
+
+
+_held_out = _profiles + f""", held_out AS (SELECT user_id, label, total_photos, {_uniform('0', 'user_id')} < 0.8::DOUBLE AS train FROM profiles)"""
+
+_MANY = _with(_RAW, _CLEAN) + """, corners AS (
+    SELECT o_orderkey AS k, 50::BIGINT << (o_orderkey % 13)::INTEGER AS side, 41600000 + o_orderkey * 7919 % 600000 AS south,
+        12200000 + o_orderkey * 104729 % 600000 AS west FROM orders),
+boxes AS (
+    SELECT k, south / 1000000.0::DOUBLE AS lat_min, (south + side) / 1000000.0::DOUBLE AS lat_max,
+        west / 1000000.0::DOUBLE AS lon_min, (west + side * (k % 3 + 1)) / 1000000.0::DOUBLE AS lon_max FROM corners),
+first AS (
+    SELECT photo_id, min(k) AS k FROM clean JOIN boxes ON latitude BETWEEN lat_min AND lat_max AND longitude BETWEEN lon_min AND lon_max
+    GROUP BY photo_id)
+SELECT photo_id, coalesce('o' || k, 'Unknown') AS roi FROM clean LEFT JOIN first USING (photo_id)"""
+
 ORACLES: dict[str, str] = {
     "json_layout": """SELECT layout, count(*) AS records FROM events, (VALUES ('json_lines'), ('json_array')) AS l(layout)
         GROUP BY layout""",
@@ -299,6 +316,18 @@ reasons AS (
         WHEN latitude IS NULL OR longitude IS NULL THEN 'no_position'
         WHEN latitude = 0 OR longitude = 0 THEN 'zero_position'
         WHEN NOT ({_BOX}) THEN 'outside_city' END AS reason FROM flat
+)""") + """ SELECT count(*) AS raw, count(*) - count(reason) AS clean, count(reason) AS dropped,
+        count(*) FILTER (reason = 'no_user') AS no_user, count(*) FILTER (reason = 'bad_date') AS bad_date,
+        count(*) FILTER (reason = 'no_position') AS no_position,
+        count(*) FILTER (reason = 'zero_position') AS zero_position,
+        count(*) FILTER (reason = 'outside_city') AS outside_city,
+        round(count(reason) * 100.0::DOUBLE / count(*), 6) AS drop_pct FROM reasons""",
+    "clean_report_observed": _with(_RAW, f"""
+reasons AS (
+    SELECT CASE WHEN user_id IS NULL THEN 'no_user' WHEN ts IS NULL THEN 'bad_date'
+        WHEN latitude IS NULL OR longitude IS NULL THEN 'no_position'
+        WHEN latitude = 0 OR longitude = 0 THEN 'zero_position'
+        WHEN NOT ({_BOX}) THEN 'outside_city' END AS reason FROM flat
 )""") + """ SELECT count(*) AS raw, count(*) - count(reason) AS clean, count(reason) AS dropped,
         count(*) FILTER (reason = 'no_user') AS no_user, count(*) FILTER (reason = 'bad_date') AS bad_date,
         count(*) FILTER (reason = 'no_position') AS no_position,
@@ -307,6 +336,27 @@ reasons AS (
         round(count(reason) * 100.0::DOUBLE / count(*), 6) AS drop_pct FROM reasons""",
     "geofence_filter": _with(_RAW) + f" SELECT photo_id, latitude, longitude FROM flat WHERE {_BOX}",
     "timestamp_parse": _with(_RAW) + " SELECT photo_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp FROM flat",
+    "enrich_many_boxes": _MANY,
+    "enrich_many_boxes_shuffled": _MANY,
+    "stream_hourly_roi": _enriched + """ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, roi,
+        count(*) AS count FROM known WHERE year(ts) > 1999 GROUP BY ALL""",
+    "overview_sketch": _enriched + """, real AS (SELECT * FROM enriched WHERE year(ts) > 1999)
+        SELECT roi, count(*) AS photos, count(DISTINCT user_id) AS users, true AS within FROM real GROUP BY roi
+        UNION ALL SELECT 'all', count(*), count(DISTINCT user_id), true FROM real""",
+    "table_round_trip": _enriched + """, counted AS (
+        SELECT count(*) AS photos, count(DISTINCT roi) AS rois, count(DISTINCT year(ts)) AS years,
+            count(*) FILTER (roi <> 'Unknown') AS known_photos, count(DISTINCT roi) FILTER (roi <> 'Unknown') AS known_rois,
+            count(DISTINCT year(ts)) FILTER (roi <> 'Unknown') AS known_years FROM enriched)
+        SELECT 'plain' AS "table", photos, rois, years FROM counted UNION ALL SELECT 'partitioned', photos, rois, years FROM counted
+        UNION ALL SELECT 'replaced', known_photos, known_rois, known_years FROM counted UNION ALL SELECT 'missing', 0, 0, 0""",
+    "rf_routes": _held_out + " SELECT user_id, label, true AS as_model FROM held_out WHERE NOT train",
+    "rf_facts": _held_out + """ SELECT count(*) AS users, count(*) FILTER (label = 1) AS relevant, true AS better
+        FROM held_out WHERE NOT train""",
+    "split_counts": _held_out + """ SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS part, count(*) AS users,
+        sum(total_photos)::BIGINT AS photos FROM held_out GROUP BY ALL""",
+    "photo_sample": _enriched + f""" SELECT photo_id, roi FROM enriched WHERE {_uniform('1', 'photo_id')} < 0.2::DOUBLE""",
+    "kmeans_facts": _enriched + " SELECT 10 AS clusters, count(*) AS photos, 0 AS strays, true AS centred FROM enriched",
+    "silhouette_facts": "SELECT true AS as_evaluator, true AS in_range",
     "roi_enrich": _enriched + " SELECT photo_id, roi FROM enriched",
     "roi_enrich_grid": _enriched + " SELECT photo_id, roi FROM enriched",
     "roi_capture_stats": _enriched + """ SELECT count(*) AS total, count(*) FILTER (roi <> 'Unknown') AS mapped,
@@ -342,6 +392,18 @@ moves AS (
     SELECT user_id, roi AS source, lead(roi) OVER (PARTITION BY user_id ORDER BY ts, roi) AS target FROM known
 )""") + """ SELECT source, target, user_type, count(*) AS weight FROM moves LEFT JOIN profiles USING (user_id)
         WHERE target IS NOT NULL AND source <> target GROUP BY ALL""",
+    "od_matrix_gap": _with(_RAW, _CLEAN, _ENRICHED, _PROFILES, """
+moves AS (
+    SELECT user_id, roi AS source, ts AS left_at, lead(roi) OVER w AS target, lead(ts) OVER w AS come_at
+    FROM known WINDOW w AS (PARTITION BY user_id ORDER BY ts, roi)
+)""") + """ SELECT source, target, user_type, count(*) AS weight FROM moves LEFT JOIN profiles USING (user_id)
+        WHERE target IS NOT NULL AND source <> target AND come_at <= left_at + INTERVAL 6 HOUR GROUP BY ALL""",
+    "user_stays": _enriched + """, opened AS (
+        SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+        FROM enriched WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS stay FROM opened)
+    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last,
+        count(*) AS photos FROM numbered GROUP BY user_id, stay""",
     "hidden_gems": _with(_RAW, _CLEAN, _ENRICHED, _PROFILES, _GEMS) + """ SELECT roi, Tourist, Resident, total,
         round(localness, 6) AS localness_index FROM gems""",
     "peak_hour": _with(_RAW, _CLEAN, _ENRICHED, _PROFILES, _HEATMAP) + """ SELECT roi, hour AS peak_hour, count
@@ -480,3 +542,5 @@ moves AS (
     UNION ALL SELECT 'top_user', 1, NULL, max(n), NULL
         FROM (SELECT count(*) AS n FROM enriched GROUP BY user_id)""",
 }
+
+ORACLES["exact_silhouette"] = ORACLES["cluster_silhouette"]

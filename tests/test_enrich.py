@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lenstrail.config import ROIS, Roi
 from lenstrail.operators import enrich
+from lenstrail.operators.cells import box_cells
+from lenstrail.sources.tables import roi_table
 
 
 def points(spark, values):
@@ -43,8 +45,8 @@ OVERLAPPING = (
     [
         {"strategy": "case"},
         {"strategy": "grid"},
-        {"strategy": "grid", "cell_deg": 0.0007},
-        {"strategy": "grid", "max_broadcast_cells": 0, "salts": 3},
+        {"strategy": "grid", "max_broadcast_cells": 0},
+        {"strategy": "grid", "max_broadcast_cells": 0, "busy": 40},
     ],
 )
 def test_strategies_agree_with_plain_loop(spark, rois, options):
@@ -64,9 +66,32 @@ def test_many_boxes_take_the_grid(spark):
     many = [Roi(f"r{i}", 41 + i * 0.001, 41.0009 + i * 0.001, 12.0, 12.001) for i in range(100)]
     got = enrich.enrich_roi(points(spark, [(41.0505, 12.0005), (42.5, 12.0)]), many)
     assert [r["roi"] for r in got.orderBy("photo_id").collect()] == ["r50", "Unknown"]
-    cells = enrich.roi_cells(spark, many, 0.005)
-    pairs = cells.select(F.sum(F.size("boxes"))).first()[0]
-    assert pairs == enrich.count_cells(many, 0.005)
+
+
+def random_boxes(n, seed):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        lat, lon = rnd.uniform(-89, 89), rnd.uniform(-179, 179)
+        tall, wide = (rnd.choice([0.0, 10 ** rnd.uniform(-5, 1.5)]) for _ in range(2))
+        out.append(Roi(f"r{i}", lat, lat + tall, lon, lon + wide))
+    return [*out, Roi("world", -90.0, 90.0, -180.0, 180.0)] if seed % 2 else out
+
+
+@pytest.mark.parametrize("seed, options", [(1, {}), (2, {"max_broadcast_cells": 0, "busy": 30})])
+def test_boxes_of_all_sizes(spark, seed, options):
+    rois = random_boxes(150, seed)
+    rnd = random.Random(seed + 10)
+    corners = [(r.lat_min, r.lon_max) for r in rois] + [r.centre for r in rois]
+    values = corners + [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(100)] + [(None, None)]
+    got = enrich.enrich_roi(points(spark, values), rois, strategy="grid", **options)
+    assert {r["photo_id"]: r["roi"] for r in got.collect()} == {str(i): by_hand(lat, lon, rois) for i, (lat, lon) in enumerate(values)}
+
+
+def test_a_box_lies_in_few_cells(spark):
+    boxes = roi_table(spark, random_boxes(300, 1))
+    filed = box_cells(boxes).select(F.explode("boxes.roi").alias("roi")).groupBy("roi").count()
+    assert filed.count() == 301 and filed.agg(F.max("count")).first()[0] <= 9
 
 
 def test_capture_stats(visits):

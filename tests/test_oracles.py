@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ("events", "documents")
+TABLES = ("events", "documents", "orders")
 # The queries of the subpackage for training data, which may be absent, have tests of their own.
 QUERIES = {name: q for name, q in contract.queries().items() if name not in contract.LLM_QUERIES}
 ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name not in contract.LLM_ORACLES}

@@ -30,6 +30,24 @@ def test_exact_sample_with_copies(spark, n):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 350, 420, 899, 1000])
+@pytest.mark.parametrize("digits, most", [(1, 10), (4, 10), (2, 70)])
+def test_exact_sample_refines_the_edge(spark, n, digits, most):
+    """One key holds most rows, all different; no task sorts more than `most` of them."""
+    data = [("same", v % 350) for v in range(400)] + [(str(i), i) for i in range(500)] + [(None, None)] * 20
+    df = spark.createDataFrame(data, "id string, v int").repartition(6)
+    got = Counter(tuple(r) for r in sampling.exact_sample(df, "id", n, hex_digits=digits, most=most).collect())
+    assert got == Counter(sorted(data, key=lambda r: (digest(r[0]), r[1] or 0))[:n])
+
+
+def test_ranges_of_one_key_are_small(spark):
+    rows = spark.range(5000).selectExpr("'k' AS _md5", "id % 1250 AS v", "id AS w", "1L AS _copies")
+    kept, need = sampling._edge_range(rows, ["v", "w"], 2600, 200)
+    sizes = {r["_range"]: r["count"] for r in kept.groupBy("_range").count().collect()}
+    assert max(sizes.values()) <= 200 and 0 < need <= sizes[0]
+    assert sum(n for r, n in sizes.items() if r < 0) + need == 2600
+
+
 def test_hash_split_is_complete_and_stable(spark):
     df = spark.range(1000).withColumnRenamed("id", "user_id")
     a, b = sampling.hash_split(df, "user_id", 0.8)
