@@ -4,7 +4,12 @@ from conftest import rows
 from lenstrail.config import Box
 from lenstrail.functions.columns import parse_timestamp
 from lenstrail.operators import clean
-from lenstrail.sources.raw_json import raw_schema
+
+# As a scan with a schema of its own would give them: coordinates as numbers.
+RAW = (
+    "id string, owner struct<id: string>, title string, dateTaken string, "
+    "geoData struct<latitude: double, longitude: double>, tags array<struct<value: string>>"
+)
 
 ISO = "2010-05-01 10:11:12"
 
@@ -16,7 +21,7 @@ def raw(spark, *records):
             (i, (u,) if u else None, "t", d, (lat, lon), [(t,) for t in tags] if tags is not None else None)
             for i, u, d, lat, lon, tags in records
         ],
-        raw_schema(),
+        RAW,
     )
 
 
