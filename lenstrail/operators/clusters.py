@@ -149,9 +149,12 @@ def label_points(points: DataFrame, labels: DataFrame, *, max_broadcast: int = 1
     return points.join(named, "cluster", "left")
 
 
-def _hull_steps():
+def _hull_steps(flat: float = 1e-13):
     """The two Python steps of the hull.  Local functions travel to the executors by
-    value, so those need no copy of this package."""
+    value, so those need no copy of this package.
+
+    A corner of less than `flat` square degrees is rounding: points in line on a grid of
+    micro-degrees, whose smallest corner is 1e-12."""
 
     def hull(points: np.ndarray) -> np.ndarray:
         """Convex hull of an (n, 2) array, counter-clockwise from the lowest (lon, lat)."""
@@ -164,7 +167,7 @@ def _hull_steps():
             for p in way:
                 while len(out) > 1:
                     (ax, ay), (bx, by) = out[-2], out[-1]
-                    if (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax) > 0:
+                    if (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax) > flat:
                         break
                     out.pop()
                 out.append(p)

@@ -544,3 +544,25 @@ moves AS (
 }
 
 ORACLES["exact_silhouette"] = ORACLES["cluster_silhouette"]
+
+# Monotone chains over whole micro-degrees: a stack per cluster and way, one step a round.
+ORACLES["cluster_hulls"] = "WITH RECURSIVE " + _tiled.removeprefix("WITH ") + """, spots AS (
+    SELECT DISTINCT cluster, round(longitude * 1000000)::BIGINT AS x, round(latitude * 1000000)::BIGINT AS y, longitude, latitude FROM tiled),
+ways AS MATERIALIZED (
+    SELECT cluster, way, x, y, row_number() OVER (PARTITION BY cluster, way ORDER BY x * way, y * way) AS i
+    FROM spots, (VALUES (1), (-1)) w(way)),
+chain AS (
+    SELECT DISTINCT cluster, way, 1::BIGINT AS i, CAST([] AS BIGINT[][]) AS stack FROM ways
+    UNION ALL
+    SELECT cluster, way, i + (NOT turns)::BIGINT, CASE WHEN turns THEN stack[:len(stack) - 1] ELSE list_append(stack, [x, y]) END
+    FROM (SELECT c.*, w.x, w.y, coalesce(len(stack) > 1 AND
+            (stack[-1][1] - stack[-2][1]) * (w.y - stack[-2][2]) - (stack[-1][2] - stack[-2][2]) * (w.x - stack[-2][1]) <= 0, false) AS turns
+          FROM chain c JOIN ways w USING (cluster, way, i))),
+ends AS (
+    SELECT c.cluster, c.way, stack[:len(stack) - 1] AS part FROM chain c
+    JOIN (SELECT cluster, way, count(*) AS n FROM ways GROUP BY ALL) t ON c.cluster = t.cluster AND c.way = t.way AND c.i = t.n + 1),
+rings AS (
+    SELECT cluster, list_concat(max(part) FILTER (way = 1), max(part) FILTER (way = -1)) AS ring FROM ends GROUP BY cluster),
+corners AS (SELECT cluster, unnest(ring) AS corner, unnest(range(len(ring)))::INTEGER AS idx FROM rings WHERE len(ring) > 2)
+SELECT c.cluster, idx, longitude AS lon, latitude AS lat FROM corners c JOIN spots s ON s.cluster = c.cluster AND s.x = corner[1] AND s.y = corner[2]
+WHERE c.cluster IN (SELECT cluster FROM tiled GROUP BY cluster HAVING count(*) > 3)"""

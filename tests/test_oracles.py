@@ -32,7 +32,6 @@ def test_every_oracle_belongs_to_a_query():
         "kmeans_clusters",
         "kmeans_sizes",
         "kmeans_silhouette",
-        "cluster_hulls",
     }
 
 
