@@ -145,15 +145,15 @@ def damped(n: int) -> float:
     return 1 + math.log(n)
 
 
+def _vector(text: str, block: bool, idf: dict[str, float]) -> dict[str, float]:
+    own = {t: (damped(n) if block else n) * idf[t] for t, n in terms(text).items()}
+    length = math.sqrt(sum(w * w for w in own.values()))
+    return {t: w / length for t, w in own.items()}
+
+
 def vectors(idf: dict[str, float]) -> list[tuple[str, bool, dict[str, float]]]:
     """(licence, is a block, weights of unit length) of every template."""
-    out = []
-    for block, table in ((False, TEMPLATES), (True, blocks())):
-        for name, text in table:
-            own = {t: (damped(n) if block else n) * idf[t] for t, n in terms(text).items()}
-            length = math.sqrt(sum(w * w for w in own.values()))
-            out.append((name, block, {t: w / length for t, w in own.items()}))
-    return out
+    return [(name, block, _vector(text, block, idf)) for block, table in ((False, TEMPLATES), (True, blocks())) for name, text in table]
 
 
 def tiers(weights: dict[str, float], step: float = 1.5, rest: float = 0.02) -> tuple[list[tuple[float, list[str]]], float]:
@@ -170,20 +170,24 @@ def tiers(weights: dict[str, float], step: float = 1.5, rest: float = 0.02) -> t
     return found, max(left, 0.0)
 
 
-def anchors(idf: dict[str, float], threshold: float) -> list[str]:
+def needed(templates: list[dict[str, float]], threshold: float) -> list[str]:
+    """Terms of which every unit that reaches the threshold has one: what a template has besides is too little."""
     found: set[str] = set()
-    for _, text in TEMPLATES:
-        weights = sorted(((n * idf[t], t) for t, n in terms(text).items()), reverse=True)
-        left = sum(w * w for w, _ in weights)
-        bound = left * threshold**2 * 0.999
-        for w, t in weights:
-            if left < bound:
+    for weights in templates:
+        left = 1.0
+        for t, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+            if left < threshold**2 * 0.999:
                 break
             found.add(t)
             left -= w * w
     return sorted(found)
 
 
+def anchors(idf: dict[str, float], threshold: float) -> list[str]:
+    """Terms that any sentence needs one of."""
+    return needed([_vector(text, False, idf) for _, text in TEMPLATES], threshold)
+
+
 def _list(words) -> Column:
     return F.split(F.lit(" ".join(sorted(words))), " ")
 
@@ -216,8 +220,9 @@ def _sum(columns: list[Column]) -> Column:
 SENTENCE, WRAPPED, PARAGRAPH, WHOLE = range(4)
 
 
-def _units(text: Column, pattern: str, threshold: float, sentences: list[dict], whole: list[dict]) -> Column:
+def _units(text: Column, all_words: Column, threshold: float, sentences: list[dict], whole: list[dict]) -> Column:
     """Array of (kind, part, words) of the units that may reach the threshold; words as one text."""
+    pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, needed(sentences, threshold))) + ")(?![a-z0-9])"
 
     def unit(kind, part, words):
         return F.struct(F.lit(kind).alias("kind"), part.cast("int").alias("part"), F.array_join(words, " ").alias("words"))
@@ -235,13 +240,16 @@ def _units(text: Column, pattern: str, threshold: float, sentences: list[dict],
         of_sentences(SENTENCE, parts, SENTENCE_END),
         of_sentences(WRAPPED, F.transform(parts, lambda p: F.when(F.rtrim(p).contains("\n"), p).otherwise("")), WRAPPED_END),
     )
-    known = F.array_intersect(_words(text), _list({t for w in whole for t in w}))
     held = F.filter(F.transform(parts, lambda p, i: F.struct(i.alias("i"), _words(p).alias("w"))), lambda x: _may_reach(x["w"], whole, threshold))
-    passages = F.concat(F.transform(held, lambda x: unit(PARAGRAPH, x["i"], x["w"])), F.array(unit(WHOLE, F.lit(-1), _words(text))))
+    passages = F.concat(F.transform(held, lambda x: unit(PARAGRAPH, x["i"], x["w"])), F.array(unit(WHOLE, F.lit(-1), all_words)))
     # In a lambda the terms are found once for all templates.
+    known = F.array_intersect(all_words, _list({t for w in whole for t in w}))
     passages = F.when(F.exists(F.array(known), lambda k: _may_reach(k, whole, threshold)), passages)
     empty = F.array().cast("array<struct<kind:int,part:int,words:string>>")
-    return F.concat(F.coalesce(F.when(F.lower(text).rlike(pattern), lines), empty), F.coalesce(passages, empty))
+    # Most texts have none of the terms that a unit needs, and are left after two looks at their words.
+    lines = F.when(F.arrays_overlap(all_words, _list(needed(sentences, threshold))), lines)
+    passages = F.when(F.arrays_overlap(all_words, _list(needed(whole, threshold))), passages)
+    return F.concat(F.coalesce(lines, empty), F.coalesce(passages, empty))
 
 
 def _scores(units: DataFrame, counted: DataFrame, n: int, templates: list, threshold: float) -> DataFrame:
@@ -292,17 +300,14 @@ def license_scan(docs: DataFrame, path: Column, *, threshold: float = THRESHOLD)
     seen = {r.t: r.n for r in counted.where(F.array_contains(_list(vocabulary), F.col("t"))).collect()}  # the templates' terms
     idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
     templates = vectors(idf)
-    pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, anchors(idf, threshold))) + ")(?![a-z0-9])"
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     of_kind = [[w for _, block, w in templates if block is b] for b in (False, True)]
-    rows = cut_lineage(
-        docs.select(
-            "doc_id",
-            F.coalesce(path, F.lit("")).alias("path"),
-            F.size(_words(text)).alias("n_words"),
-            _units(text, pattern, threshold, *of_kind).alias("units"),
-        )
-    ).withColumn("row", F.monotonically_increasing_id())  # of stored rows, so it does not change
+    # In a lambda the words of a text are found once.
+    scanned = F.transform(
+        F.array(_words(text)), lambda w: F.struct(F.size(w).alias("n_words"), _units(text, w, threshold, *of_kind).alias("units"))
+    )
+    rows = docs.select("doc_id", F.coalesce(path, F.lit("")).alias("path"), F.get(scanned, 0).alias("s"))
+    rows = cut_lineage(rows.select("doc_id", "path", "s.n_words", "s.units")).withColumn("row", F.monotonically_increasing_id())  # of stored rows, so it does not change
     units = rows.select("row", F.explode("units").alias("u")).select("row", "u.*")
     best = _scores(units, counted, n, templates, threshold)
     keyed = units.select("row", "part", "kind", (F.col("kind") >= PARAGRAPH).alias("block"), F.md5("words").alias("key"), F.size(F.split("words", " ")).alias("n"))
