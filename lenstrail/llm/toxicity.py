@@ -8,10 +8,10 @@ the risk is
 
 so that a negative estimate of the negatives' risk is pushed back up instead of followed.
 
-Features are words and beginnings of words, present or not.  Spark counts them over the
-learning rows, the strongest ones are kept, and numpy trains on their presence.  Bounds,
-all on the fit only: `most_positive` and `most_unlabelled` rows by hash, `most_candidates` features
-of positives by count and `most_features` of them by difference.
+Features are words and beginnings of words, present or not.  Spark counts all of them over the
+positive and the unlabelled rows to learn from and keeps those whose shares differ most, of any
+frequency from `least_documents` on; numpy trains on their presence.  Bounds, all on the fit
+only: `most_positive` and `most_unlabelled` documents by hash, and `most_features` weights of the model.
 """
 
 from __future__ import annotations
@@ -30,13 +30,12 @@ from lenstrail.sources.tables import cut_lineage
 
 _WORD = re.compile(r"[^\W\d_]+")
 STARTS = (4, 5, 6)
-LONGEST = 40  # letters of a word that a feature keeps
 
 
 def features(text: str) -> set[str]:
     """Words, and with a leading ^ the beginnings of longer words."""
     words = set(_WORD.findall(text.lower()))
-    found = {w[:LONGEST] for w in words}
+    found = set(words)
     for n in STARTS:
         found.update("^" + w[:n] for w in words if len(w) > n)
     return found
@@ -100,13 +99,15 @@ def fit(
     *,
     held_out: int = 1,
     prior: float | None = None,
-    most_positive: int = 2_500,
-    most_unlabelled: int = 7_000,
-    most_candidates: int = 8_000,
-    most_features: int = 384,
+    most_positive: int = 6_000,
+    most_unlabelled: int = 18_000,
+    most_features: int = 512,
     least_documents: int = 4,
 ) -> ToxicityModel:
-    """`prior` defaults to the share of positives among the labelled rows to learn from."""
+    """`prior` defaults to the share of positives among the labelled rows to learn from.
+
+    A doc_id that several rows share counts once, with the text of the least hash.
+    """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
@@ -119,59 +120,59 @@ def fit(
     prior = prior or min(max(n_toxic / n_known, 1e-3), 0.9)
     by_hash = F.xxhash64(F.lit(3), "doc_id")
     positive = known.where("toxic = 1").orderBy(by_hash, "doc_id").limit(most_positive).select("doc_id", F.lit(1).alias("p"))
-    ids = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) != held_out)).select("doc_id")
-    unlabelled = ids.orderBy(by_hash, "doc_id").limit(most_unlabelled).distinct().select("doc_id", F.lit(0).alias("u"))
-    chosen = positive.join(unlabelled, "doc_id", "full").withColumn("p", F.coalesce("p", F.lit(0)))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(chosen.select("doc_id", "p", F.col("u").isNotNull().cast("int").alias("in_u"))), "doc_id"
-    )
-    rows = cut_lineage(rows.select("text", "p", "in_u"))
+    ids = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) != held_out)).select("doc_id").distinct()
+    unlabelled = ids.orderBy(by_hash, "doc_id").limit(most_unlabelled).select("doc_id", F.lit(1).alias("u"))
+    chosen = positive.join(unlabelled, "doc_id", "full").select("doc_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("p", "u")])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")  # most_positive + most_unlabelled ids at most
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    rows = cut_lineage(rows.groupBy("doc_id", "p", "u").agg(one.alias("row")).select(F.col("row.text").alias("text"), "p", "u"))
+    n_p, n_u = rows.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
+    if not n_p or not n_u:
+        return ToxicityModel({}, -2.0)
 
     def count(batches):
-        total: Counter[str] = Counter()
         for part in slices(batches):
-            for text in part.column("text").to_pylist():
-                total.update(features(text or ""))
-        yield pa.RecordBatch.from_pydict({"f": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
-
-    # Features of positives that are not rare; then their presence in every row of the sample.
-    common = short_batches(rows).where("p = 1").mapInArrow(count, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
-    common = common.where(F.col("n") >= least_documents).orderBy(F.desc("n"), "f").limit(most_candidates)
-    names = sorted(r.f for r in common.collect())
+            total: dict[str, Counter[str]] = {"p": Counter(), "u": Counter()}
+            for text, *kinds in zip(*(part.column(c).to_pylist() for c in ("text", "p", "u")), strict=True):
+                found = features(text)
+                for counter, counts in zip(total.values(), kinds, strict=True):
+                    if counts:
+                        counter.update(found)
+            names = sorted(total["p"].keys() | total["u"].keys())
+            counts = {k: pa.array([c[f] for f in names], pa.int64()) for k, c in total.items()}
+            yield pa.RecordBatch.from_pydict({"f": pa.array(names, pa.string()), **counts})
+
+    counted = short_batches(rows).mapInArrow(count, "f string, p long, u long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
+    difference = F.abs(rate_p - rate_u) / F.sqrt((rate_p + 1e-6) / n_p + (rate_u + 1e-6) / n_u)
+    best = counted.where(F.col("p") >= least_documents).orderBy(F.desc(F.round(difference, 9)), "f").limit(most_features)
+    names = sorted(r.f for r in best.collect())
+    if not names:
+        return ToxicityModel({}, -2.0)
     place = {f: k for k, f in enumerate(names)}
 
     def index(batches):
         for part in slices(batches):
-            found = [[place[f] for f in features(t or "") if f in place] for t in part.column("text").to_pylist()]
+            found = [sorted(place[f] for f in features(t) & place.keys()) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
                     "p": part.column("p").combine_chunks(),
-                    "in_u": part.column("in_u").combine_chunks(),
+                    "u": part.column("u").combine_chunks(),
                     "at": pa.array(found, pa.list_(pa.int32())),
                 }
             )
 
     # Bounded rows and features; packed, since the driver holds it.
-    parts = rows.mapInArrow(index, "p int, in_u int, at array<int>").toArrow().combine_chunks()
-    p, u = (parts.column(c).to_numpy().astype(bool) for c in ("p", "in_u"))
-    if not u.any() or not p.any() or not names:
-        return ToxicityModel({}, -2.0)
+    parts = rows.mapInArrow(index, "p int, u int, at array<int>").toArrow().combine_chunks()
+    p, u = (parts.column(c).to_numpy().astype(bool) for c in ("p", "u"))
     lists = parts.column("at").combine_chunks()
     row = np.repeat(np.arange(len(p), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
-    at = lists.flatten().to_numpy()
-    del parts, lists
-    rate_p = np.bincount(at[p[row]], minlength=len(names)) / p.sum()
-    rate_u = np.bincount(at[u[row]], minlength=len(names)) / u.sum()
-    z = np.abs(rate_p - rate_u) / np.sqrt((rate_p + 1e-6) / p.sum() + (rate_u + 1e-6) / u.sum())
-    best = np.sort(np.argsort(-z, kind="stable")[:most_features])
-    column = np.full(len(names), -1, np.int32)
-    column[best] = np.arange(len(best))
-    kept = column[at] >= 0
-    x = np.zeros((len(p), len(best)), np.float32)
-    x[row[kept], column[at[kept]]] = 1
-    del row, at, kept
+    x = np.zeros((len(p), len(names)), np.float32)
+    x[row, lists.flatten().to_numpy()] = 1
+    del parts, lists, row
     w, b = train(x[p], x[u], prior)
-    return ToxicityModel({names[k]: float(v) for k, v in zip(best, w, strict=True)}, b)
+    return ToxicityModel(dict(zip(names, w.astype(float).tolist(), strict=True)), b)
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
