@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 import pyarrow as pa
@@ -66,32 +67,50 @@ def slices(batches, size: int = 8 << 20, text: str = "text"):
     pa.default_memory_pool().release_unused()  # workers are used again by later stages
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver's JVM collect garbage, upon which Spark removes shuffle files of frames that are gone.
+
+    Jobs of many short rounds else leave the files of all rounds on the executors' disks, since a driver
+    with little to do collects late.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+MIN_TASKS = 4
+LINKS_A_TASK = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every end of `edges` (a, b): the smallest id that links reach.
 
     Alternates a star step over all neighbours with one over smaller neighbours, so the
     number of rounds grows with the logarithm of the longest chain.  Minima are combined
     before each shuffle, and the joins back are split by adaptive execution where one
-    node has very many links.  Each round is checkpointed.
+    node has very many links.  Each round is checkpointed.  Links are counted, and handed to
+    the next shuffle by as many tasks as they need: each task of a shuffle leaves files of its own.
     """
     stars = (
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .where("u != v")
         .distinct()
     )
-    before = None
-    while True:
-        both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    stars = cut_lineage(stars)
+    before, n = None, stars.count()
+    while n:
+        tasks = max(MIN_TASKS, math.ceil(n / LINKS_A_TASK))
+        stars = stars.coalesce(tasks)
+        both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        stars = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks))
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
+        del both, lowest, large, least, small
+        let_go(stars.sparkSession)
+        if now == before:
             break
-        before = now
+        before, n = now, now[0]
     ends = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ends.union(stars.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

@@ -9,8 +9,8 @@
    a pair below the tolerance is dropped.  What stays is verified on the whole sets.
 4. Components that meet in a band are compared in the same way, in blocks.  Those with
    candidates left form clusters.
-5. All pairs of a cluster are verified on whole sets, block by block, which counts links and
-   joins components; pairs are never listed.
+5. All pairs of a cluster are verified exactly, block by block, which counts links and joins
+   components; pairs are never listed.  Sets of a large cluster travel as differences from its leader's.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lenstrail.llm.common import components, short_batches, slices
+from lenstrail.llm.common import components, let_go, short_batches, slices
 from lenstrail.llm.suffix_dedup import mixed
 from lenstrail.sources.tables import cut_lineage
 
@@ -38,6 +38,9 @@ STEP = 16
 TOLERANCE = 1e-7
 BLOCK = 512
 BLOCK_BYTES = 1 << 20
+DIFF_BLOCK = 2048
+DIFF_BYTES = 8 << 20
+MAX_BROADCAST = 100_000
 AT_ONCE = 1 << 18  # characters split into words at a time
 
 _U = np.uint64
@@ -213,13 +216,17 @@ def _across(members: DataFrame, steps) -> DataFrame:
     Members of a component too large for a block get blocks of their own, the rest share blocks;
     two blocks of one large component are not paired.
     """
-    size = members.groupBy("band", "component").agg(F.count("*").alias("n"))
-    named = members.join(size, ["band", "component"]).withColumn(
-        "owner", F.when(F.col("n") > BLOCK, F.col("component")).otherwise(-1)
-    )
+    size = cut_lineage(members.groupBy("band", "component").agg(F.count("*").alias("n")))
     total = size.groupBy("band", F.when(F.col("n") > BLOCK, F.col("component")).otherwise(-1).alias("owner")).agg(
         F.ceil(F.sum("n") / BLOCK).alias("parts")
     )
+    # Only components with blocks of their own are looked up; bands of few members need one block.
+    busy = cut_lineage(size.where(F.col("n") > BLOCK).select("band", "component"))
+    crowded = cut_lineage(total.where("parts > 1").withColumnRenamed("parts", "many"))
+    busy, crowded = (F.broadcast(t) if t.count() <= MAX_BROADCAST else t for t in (busy, crowded))
+    named = members.join(busy.withColumn("own", F.lit(True)), ["band", "component"], "left").withColumn(
+        "owner", F.when(F.col("own"), F.col("component")).otherwise(-1)
+    )
     blocks = total.select("band", "owner", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"))
     one, two = blocks, blocks.select("band", F.col("owner").alias("owner2"), F.col("part").alias("part2"))
     pairs = (
@@ -230,7 +237,8 @@ def _across(members: DataFrame, steps) -> DataFrame:
     sides = pairs.select("band", "owner", "part", "task", F.lit(0).alias("side")).union(
         pairs.where("(owner, part) != (owner2, part2)").select("band", "owner2", "part2", "task", F.lit(1))
     )
-    placed = named.join(total, ["band", "owner"]).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    parts = F.coalesce("many", F.lit(1))
+    placed = named.join(crowded, ["band", "owner"], "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
     dealt = placed.join(sides, ["band", "owner", "part"]).select("task", "side", "class", "component", "signature")
 
     def compare(table: pa.Table) -> pa.Table:
@@ -260,83 +268,148 @@ def _across(members: DataFrame, steps) -> DataFrame:
     return dealt.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+def _differences(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(class, n, of_leader, minus, diff): each set as its difference from the set of its cluster's leader.
+
+    `n` and `of_leader` are the sizes of both sets, `minus` how many of the leader's shingles are missing, `diff` the
+    hashes in one of the two sets only.  Each text moves once, to a group that also has the leader's.
+    """
+    per = members.groupBy("cluster").agg(F.min("class").alias("leader"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    asked = (
+        members.join(per, "cluster")
+        .where("class != leader")
+        .select("class", "cluster", F.pmod(F.xxhash64(F.lit(3), "class"), F.col("parts")).cast("int").alias("salt"), F.lit(False).alias("leads"))
+    )
+    leaders = per.select(F.col("leader").alias("class"), "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(True).alias("leads"))
+
+    def cut(table: pa.Table) -> pa.Table:
+        leads = np.array(table.column("leads").to_pylist(), bool)
+        text = table.column("text")
+        first = int(np.flatnonzero(leads)[0])
+        own = next(shingle_sets([text[first].as_py()], words))
+        out: dict[str, list] = {k: [] for k in ("class", "n", "of_leader", "minus", "diff")}
+        rows = np.flatnonzero(~leads).tolist()
+        if table.column("salt")[0].as_py() == 0:
+            rows.append(first)  # the leader itself, once
+        for i, s in zip(rows, shingle_sets((text[i].as_py() for i in rows), words), strict=True):
+            plus = np.setdiff1d(s, own, assume_unique=True)
+            minus = np.setdiff1d(own, s, assume_unique=True)
+            for name, value in zip(out, (table.column("class")[i].as_py(), len(s), len(own), len(minus), np.concatenate((minus, plus)).tobytes()), strict=True):
+                out[name].append(value)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds, strict=True)})
+
+    grouped = asked.union(leaders).join(texts, "class").groupBy("cluster", "salt")
+    return grouped.applyInArrow(cut, "class long, n long, of_leader long, minus long, diff binary")
+
+
+def _linked(table: pa.Table, sets: list[np.ndarray], sizes: np.ndarray, minus: np.ndarray, base: int, second: np.ndarray, same: bool, threshold: float) -> pa.Table:
+    """Links of a block, or between two, whose sets are those of `base` shingles but for the differences `sets`.
+
+    Two such sets share base - minus of one - minus of the other + the differences they have in common.
+    """
+    node, copies = table.column("class").to_numpy(), table.column("copies").to_numpy().astype(float)
+    component = table.column("component").to_numpy()
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = seen > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[at]
+    row, at = row[keep], number[at[keep]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    left, right = (np.arange(len(sets)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+    where_l, where_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
+    inter = np.zeros((len(left), len(right)), np.float32)
+    width = 2048
+    for k in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(at, [k, k + width])
+        r, c = row[a:b], at[a:b] - k
+        x = np.zeros((len(left), width), np.float32)
+        m = where_l[r] >= 0
+        x[where_l[r[m]], c[m]] = 1
+        if same:
+            y = x
+        else:
+            y = np.zeros((len(right), width), np.float32)
+            m = where_r[r] >= 0
+            y[where_r[r[m]], c[m]] = 1
+        inter += x @ y.T
+    both = inter.astype(float) + base - minus[left][:, None] - minus[right][None, :]
+    hit = similar(both, sizes[left][:, None], sizes[right][None, :], threshold)
+    if same:
+        np.fill_diagonal(hit, False)
+        ids, links = node[left], hit @ copies[right]
+    else:
+        ids = np.concatenate((node[left], node[right]))
+        links = np.concatenate((hit @ copies[right], hit.T @ copies[left]))
+    r, c = np.nonzero(hit & (component[left][:, None] != component[right][None, :]))
+    joined = np.unique(np.sort(np.column_stack((component[left][r], component[right][c])), axis=1), axis=0)
+    none, some = [None] * len(joined), [None] * len(ids)
+    return pa.Table.from_pydict(
+        {
+            "class": pa.array([*ids.tolist(), *none], pa.int64()),
+            "links": pa.array([*np.rint(links).astype(np.int64).tolist(), *none], pa.int64()),
+            "a": pa.array([*some, *joined[:, 0].tolist()], pa.int64()),
+            "b": pa.array([*some, *joined[:, 1].tolist()], pa.int64()),
+        }
+    )
+
+
+LINKS = "class long, links long, a long, b long"
+
+
+def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float, count_links: bool) -> DataFrame:
     """All pairs inside each cluster of (class, component, cluster, copies), verified in blocks.
 
     Rows are (class, links): documents of other classes that reach the threshold, to be summed,
-    and (a, b): components that a link joins, once per task.  A cluster is cut into blocks
-    of BLOCK_BYTES of text or BLOCK texts, so that the table of pairs is bounded too; each pair of blocks is one task that multiplies their sparse incidence
-    tables.  Rows grow with the number of blocks, never with pairs of documents.
+    and (a, b): components that a link joins, once per task.  A cluster that one block of BLOCK_BYTES
+    of text and BLOCK texts holds is one task.  The sets of a larger one are stored once as differences from its
+    leader; these are dealt to pairs of blocks, each a task that multiplies their sparse incidence
+    tables.  Without counts, blocks of one component, which is joined already, are not paired.
+    Rows grow with the number of blocks, never with pairs of documents.
     """
     sized = nodes.join(texts.select("class", F.octet_length("text").alias("bytes")), "class")
-    parts = sized.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK)).cast("int").alias("parts")
-    )
-    placed = nodes.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "class",
-        "copies",
-        "component",
-        "cluster",
-        F.least("part", "other").alias("p"),
-        F.greatest("part", "other").alias("q"),
-        (F.col("part") > F.col("other")).alias("second"),
-    )
+    fits = sized.groupBy("cluster").agg(((F.sum("bytes") <= BLOCK_BYTES) & (F.count("*") <= BLOCK)).alias("fits"))
+    placed = cut_lineage(nodes.join(fits, "cluster"))
 
     def count(table: pa.Table) -> pa.Table:
-        node, copies = table.column("class").to_numpy(), table.column("copies").to_numpy().astype(float)
-        component = table.column("component").to_numpy()
-        second = np.array(table.column("second").to_pylist(), bool)
         sets = list(shingle_sets((t.as_py() for t in table.column("text")), words))
         sizes = np.array([len(s) for s in sets], float)
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        _, at, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = seen > 1
-        number = np.cumsum(shared) - 1
-        keep = shared[at]
-        row, at = row[keep], number[at[keep]]
-        order = np.argsort(at, kind="stable")
-        row, at = row[order], at[order]
-        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-        left, right = (np.flatnonzero(~second), np.flatnonzero(second)) if p != q else (np.arange(len(sets)),) * 2
-        where_l, where_r = np.full(len(sets), -1), np.full(len(sets), -1)
-        where_l[left], where_r[right] = np.arange(len(left)), np.arange(len(right))
-        inter = np.zeros((len(left), len(right)), np.float32)
-        width = 2048
-        for k in range(0, int(shared.sum()), width):
-            a, b = np.searchsorted(at, [k, k + width])
-            r, c = row[a:b], at[a:b] - k
-            x = np.zeros((len(left), width), np.float32)
-            m = where_l[r] >= 0
-            x[where_l[r[m]], c[m]] = 1
-            if p == q:
-                y = x
-            else:
-                y = np.zeros((len(right), width), np.float32)
-                m = where_r[r] >= 0
-                y[where_r[r[m]], c[m]] = 1
-            inter += x @ y.T
-        hit = similar(inter.astype(float), sizes[left][:, None], sizes[right][None, :], threshold)
-        if p == q:
-            np.fill_diagonal(hit, False)
-            ids, links = node[left], hit @ copies[right]
-        else:
-            ids = np.concatenate((node[left], node[right]))
-            links = np.concatenate((hit @ copies[right], hit.T @ copies[left]))
-        r, c = np.nonzero(hit & (component[left][:, None] != component[right][None, :]))
-        joined = np.unique(np.sort(np.column_stack((component[left][r], component[right][c])), axis=1), axis=0)
-        none, some = [None] * len(joined), [None] * len(ids)
-        return pa.Table.from_pydict(
-            {
-                "class": pa.array([*ids.tolist(), *none], pa.int64()),
-                "links": pa.array([*np.rint(links).astype(np.int64).tolist(), *none], pa.int64()),
-                "a": pa.array([*some, *joined[:, 0].tolist()], pa.int64()),
-                "b": pa.array([*some, *joined[:, 1].tolist()], pa.int64()),
-            }
-        )
+        return _linked(table, sets, sizes, np.zeros(len(sets)), 0, np.zeros(len(sets), bool), True, threshold)
+
+    small = placed.where("fits").drop("fits").join(texts, "class").groupBy("cluster").applyInArrow(count, LINKS)
+
+    large = placed.where("NOT fits").drop("fits")
+    diffs = cut_lineage(_differences(large, texts, words).join(large, "class"))
+    owner = F.lit(-1).cast("long")
+    if not count_links:
+        of_one = diffs.groupBy("cluster", "component").agg((F.count("*") > DIFF_BLOCK).alias("many"))
+        diffs = diffs.join(of_one, ["cluster", "component"])
+        owner = F.when(F.col("many"), F.col("component")).otherwise(owner)
+    diffs = diffs.withColumn("owner", owner)
+    parts = F.greatest(F.ceil(F.count("*") / DIFF_BLOCK), F.ceil(F.sum(F.octet_length("diff")) / DIFF_BYTES)).cast("int")
+    total = cut_lineage(diffs.groupBy("cluster", "owner").agg(parts.alias("parts")))
+    blocks = total.select("cluster", "owner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    two = blocks.select("cluster", F.col("owner").alias("owner2"), F.col("part").alias("part2"))
+    pairs = blocks.join(two, "cluster").where("(owner, part) <= (owner2, part2) AND (owner != owner2 OR owner = -1)")
+    pairs = pairs.withColumns({"task": F.xxhash64("cluster", "owner", "part", "owner2", "part2"), "same": F.expr("(owner, part) = (owner2, part2)")})
+    sides = pairs.select("cluster", "owner", "part", "task", "same", F.lit(False).alias("second")).union(
+        pairs.where("NOT same").select("cluster", "owner2", "part2", "task", "same", F.lit(True))
+    )
+    located = diffs.join(total, ["cluster", "owner"]).withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
+    dealt = located.join(sides, ["cluster", "owner", "part"]).select(
+        "cluster", "task", "same", "second", "class", "component", "copies", "n", "of_leader", "minus", "diff"
+    )
+
+    def count_differences(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(d, np.uint64) for d in table.column("diff").to_pylist()]
+        sizes, minus = (table.column(c).to_numpy().astype(float) for c in ("n", "minus"))
+        second = np.array(table.column("second").to_pylist(), bool)
+        return _linked(table, sets, sizes, minus, table.column("of_leader")[0].as_py(), second, table.column("same")[0].as_py(), threshold)
 
-    tasks = dealt.join(texts, "class").groupBy("cluster", "p", "q")
-    return tasks.applyInArrow(count, "class long, links long, a long, b long")
+    return small.union(dealt.groupBy("cluster", "task").applyInArrow(count_differences, LINKS))
 
 
 def _rep(frame_doc: str = "doc_id"):
@@ -395,6 +468,7 @@ def ngram_join(
     located = shared.join(groups, "class", "left").select("band", "class", F.coalesce("component", "class").alias("component"))
     apart = located.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
     crossed = cut_lineage(_across(located.join(apart, "band").join(signs, "class"), steps))
+    let_go(docs.sparkSession)
     clusters = components(crossed).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
     nodes = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     nodes = cut_lineage(nodes.join(clusters, "component", "left"))
@@ -404,7 +478,7 @@ def ngram_join(
         inner = nodes.join(groups.select("class"), "class", "left_semi").where("cluster IS NULL").unionByName(inner)
     inner = inner.withColumn("cluster", F.coalesce("cluster", "component"))
     texts = texts.union(_texts_of(inner.join(ends, "class", "left_anti"), docs))
-    compared = cut_lineage(_compared(inner.select("class", "component", "cluster", "copies"), texts, words, threshold))
+    compared = cut_lineage(_compared(inner.select("class", "component", "cluster", "copies"), texts, words, threshold, count_links))
     merged = components(compared.where("a IS NOT NULL").select("a", "b")).select(
         F.col("id").alias("component"), F.col("component").alias("whole")
     )

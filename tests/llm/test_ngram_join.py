@@ -69,12 +69,38 @@ def test_equals_brute_force(spark):
 def test_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 8)
     monkeypatch.setattr(N, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(N, "DIFF_BLOCK", 6)
     check(spark, corpus(2))
 
 
+def test_kept_documents_are_the_same_without_counts(spark, monkeypatch):
+    """Blocks of one component are not paired then."""
+    for name, value in (("BLOCK", 8), ("BLOCK_BYTES", 3000), ("DIFF_BLOCK", 3)):
+        monkeypatch.setattr(N, name, value)
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    got = {r.doc_id: r for r in N.ngram_join(df, count_links=False).collect()}
+    assert {d: r.class_id for d, r in got.items()} == {d: c for d, (c, _) in want.items()}
+    assert sorted(r.doc_id for r in N.distinct_documents(df).collect()) == sorted({c for c, _ in want.values()})
+
+
+def test_one_long_text_and_its_near_copies(spark, monkeypatch):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(5000)}" for _ in range(60_000)]
+    rows = []
+    for i in range(9):
+        w = list(long)
+        for _ in range(i * 150):
+            w[rng.randrange(len(w))] = f"x{i}{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    check(spark, rows + [(9, "few words")])
+
+
 def test_leaders_that_do_not_link(spark, monkeypatch):
     """Members that miss their leader must still find each other."""
     monkeypatch.setattr(N, "BLOCK", 4)
+    monkeypatch.setattr(N, "DIFF_BLOCK", 5)
     rng = random.Random(9)
     core = [f"c{rng.randrange(10**6)}" for _ in range(120)]
     rows = []
