@@ -79,6 +79,20 @@ def let_go(spark: SparkSession) -> None:
 
 MIN_TASKS = 4
 LINKS_A_TASK = 100_000
+MAX_BROADCAST = 100_000
+
+
+def tasks_for(n: int) -> int:
+    """Tasks that so many short rows need."""
+    return max(MIN_TASKS, math.ceil(n / LINKS_A_TASK))
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """`df` stored, read by as many tasks as its rows need, and broadcast while they are at most MAX_BROADCAST."""
+    stored = cut_lineage(df)
+    n = stored.coalesce(df.sparkSession.sparkContext.defaultParallelism).count()
+    stored = stored.coalesce(tasks_for(n))
+    return F.broadcast(stored) if n <= MAX_BROADCAST else stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -88,7 +102,8 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds grows with the logarithm of the longest chain.  Minima are combined
     before each shuffle, and the joins back are split by adaptive execution where one
     node has very many links.  Each round is checkpointed.  Links are counted, and handed to
-    the next shuffle by as many tasks as they need: each task of a shuffle leaves files of its own.
+    the next shuffle by as many tasks as they need: each task of a shuffle leaves files of its own,
+    and the driver keeps books of it.  While their ends are few, minima are broadcast.
     """
     stars = (
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -96,14 +111,21 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct()
     )
     stars = cut_lineage(stars)
-    before, n = None, stars.count()
+    before, n = None, stars.coalesce(edges.sparkSession.sparkContext.defaultParallelism).count()
     while n:
-        tasks = max(MIN_TASKS, math.ceil(n / LINKS_A_TASK))
+        tasks = tasks_for(n)
+        few = 2 * n <= MAX_BROADCAST  # ends
         stars = stars.coalesce(tasks)
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(tasks)
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        if few:
+            lowest = F.broadcast(lowest.coalesce(tasks))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct()
+        if few:
+            large = large.coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
+        if few:
+            least = F.broadcast(least.coalesce(tasks))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut_lineage(small.union(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks))
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -113,4 +135,4 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before, n = now, now[0]
     ends = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return ends.union(stars.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+    return ends.union(stars.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct().coalesce(tasks_for(n))

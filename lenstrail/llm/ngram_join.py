@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lenstrail.llm.common import components, let_go, short_batches, slices
+from lenstrail.llm.common import components, counted, let_go, short_batches, slices
 from lenstrail.llm.suffix_dedup import mixed
 from lenstrail.sources.tables import cut_lineage
 
@@ -40,7 +40,6 @@ BLOCK = 512
 BLOCK_BYTES = 1 << 20
 DIFF_BLOCK = 2048
 DIFF_BYTES = 8 << 20
-MAX_BROADCAST = 100_000
 AT_ONCE = 1 << 18  # characters split into words at a time
 
 _U = np.uint64
@@ -208,26 +207,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
     return asked.join(texts, "class").groupBy("a", "salt").applyInArrow(compare, "a long, b long")
 
 
-def _across(members: DataFrame, steps) -> DataFrame:
+def _across(members: DataFrame, signs: DataFrame, steps) -> DataFrame:
     """Pairs (a, b) of components between which candidates stay; a forest for each task.
 
-    `members` has band, class, component, signature: bands that hold several components.
+    `members` has band, class, component: bands that hold several components; `signs` class, signature.
 
     Members of a component too large for a block get blocks of their own, the rest share blocks;
     two blocks of one large component are not paired.
     """
-    size = cut_lineage(members.groupBy("band", "component").agg(F.count("*").alias("n")))
+    members = cut_lineage(members)
+    size = members.groupBy("band", "component").agg(F.count("*").alias("n"))
     total = size.groupBy("band", F.when(F.col("n") > BLOCK, F.col("component")).otherwise(-1).alias("owner")).agg(
-        F.ceil(F.sum("n") / BLOCK).alias("parts")
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("many")
     )
-    # Only components with blocks of their own are looked up; bands of few members need one block.
-    busy = cut_lineage(size.where(F.col("n") > BLOCK).select("band", "component"))
-    crowded = cut_lineage(total.where("parts > 1").withColumnRenamed("parts", "many"))
-    busy, crowded = (F.broadcast(t) if t.count() <= MAX_BROADCAST else t for t in (busy, crowded))
-    named = members.join(busy.withColumn("own", F.lit(True)), ["band", "component"], "left").withColumn(
-        "owner", F.when(F.col("own"), F.col("component")).otherwise(-1)
-    )
-    blocks = total.select("band", "owner", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"))
+    # A band of one block is one task.  Only the others, which are few, are looked up.
+    several = F.sum("many").over(W.partitionBy("band")) > 1
+    total = counted(total.withColumn("several", several).where("several").drop("several"))
+    blocks = total.select("band", "owner", F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("part"))
     one, two = blocks, blocks.select("band", F.col("owner").alias("owner2"), F.col("part").alias("part2"))
     pairs = (
         one.join(two, "band")
@@ -237,9 +233,16 @@ def _across(members: DataFrame, steps) -> DataFrame:
     sides = pairs.select("band", "owner", "part", "task", F.lit(0).alias("side")).union(
         pairs.where("(owner, part) != (owner2, part2)").select("band", "owner2", "part2", "task", F.lit(1))
     )
+    sides = counted(sides)
+    busy = total.where("owner != -1").select("band", F.col("owner").alias("component"), "owner")
+    named = members.join(signs, "class").join(busy, ["band", "component"], "left").withColumn("owner", F.coalesce("owner", F.lit(-1)))
     parts = F.coalesce("many", F.lit(1))
-    placed = named.join(crowded, ["band", "owner"], "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
-    dealt = placed.join(sides, ["band", "owner", "part"]).select("task", "side", "class", "component", "signature")
+    placed = named.join(total, ["band", "owner"], "left").withColumn("part", F.pmod(F.xxhash64("class"), parts).cast("int"))
+    # In a band of several blocks a part without sides has nothing to be compared with.
+    dealt = placed.join(sides, ["band", "owner", "part"], "left").where("task IS NOT NULL OR many IS NULL")
+    dealt = dealt.select(
+        F.coalesce("task", F.xxhash64("band")).alias("task"), F.coalesce("side", F.lit(0)).alias("side"), "class", "component", "signature"
+    )
 
     def compare(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
@@ -390,7 +393,7 @@ def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float,
         owner = F.when(F.col("many"), F.col("component")).otherwise(owner)
     diffs = diffs.withColumn("owner", owner)
     parts = F.greatest(F.ceil(F.count("*") / DIFF_BLOCK), F.ceil(F.sum(F.octet_length("diff")) / DIFF_BYTES)).cast("int")
-    total = cut_lineage(diffs.groupBy("cluster", "owner").agg(parts.alias("parts")))
+    total = counted(diffs.groupBy("cluster", "owner").agg(parts.alias("parts")))
     blocks = total.select("cluster", "owner", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     two = blocks.select("cluster", F.col("owner").alias("owner2"), F.col("part").alias("part2"))
     pairs = blocks.join(two, "cluster").where("(owner, part) <= (owner2, part2) AND (owner != owner2 OR owner = -1)")
@@ -398,6 +401,7 @@ def _compared(nodes: DataFrame, texts: DataFrame, words: int, threshold: float,
     sides = pairs.select("cluster", "owner", "part", "task", "same", F.lit(False).alias("second")).union(
         pairs.where("NOT same").select("cluster", "owner2", "part2", "task", "same", F.lit(True))
     )
+    sides = counted(sides)
     located = diffs.join(total, ["cluster", "owner"]).withColumn("part", F.pmod(F.xxhash64(F.lit(1), "class"), F.col("parts")).cast("int"))
     dealt = located.join(sides, ["cluster", "owner", "part"]).select(
         "cluster", "task", "same", "second", "class", "component", "copies", "n", "of_leader", "minus", "diff"
@@ -464,10 +468,11 @@ def ngram_join(
     ends = first.select(F.col("a").alias("class")).union(first.select("b")).distinct()
     texts = _texts_of(classes.join(ends, "class"), docs)
     linked = cut_lineage(_verified(first, texts, words, threshold))
-    groups = cut_lineage(components(linked).withColumnRenamed("id", "class"))
+    let_go(docs.sparkSession)
+    groups = counted(components(linked).withColumnRenamed("id", "class"))
     located = shared.join(groups, "class", "left").select("band", "class", F.coalesce("component", "class").alias("component"))
     apart = located.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("band")
-    crossed = cut_lineage(_across(located.join(apart, "band").join(signs, "class"), steps))
+    crossed = cut_lineage(_across(located.join(apart, "band"), signs, steps))
     let_go(docs.sparkSession)
     clusters = components(crossed).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
     nodes = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -479,6 +484,7 @@ def ngram_join(
     inner = inner.withColumn("cluster", F.coalesce("cluster", "component"))
     texts = texts.union(_texts_of(inner.join(ends, "class", "left_anti"), docs))
     compared = cut_lineage(_compared(inner.select("class", "component", "cluster", "copies"), texts, words, threshold, count_links))
+    let_go(docs.sparkSession)
     merged = components(compared.where("a IS NOT NULL").select("a", "b")).select(
         F.col("id").alias("component"), F.col("component").alias("whole")
     )

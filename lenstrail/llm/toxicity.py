@@ -167,11 +167,15 @@ def fit(
     parts = rows.mapInArrow(index, "p int, u int, at array<int>").toArrow().combine_chunks()
     p, u = (parts.column(c).to_numpy().astype(bool) for c in ("p", "u"))
     lists = parts.column("at").combine_chunks()
-    row = np.repeat(np.arange(len(p), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
-    x = np.zeros((len(p), len(names)), np.float32)
-    x[row, lists.flatten().to_numpy()] = 1
-    del parts, lists, row
-    w, b = train(x[p], x[u], prior)
+    length, at = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+
+    def presence(chosen: np.ndarray) -> np.ndarray:
+        x = np.zeros((int(chosen.sum()), len(names)), np.float32)
+        row = np.repeat(np.where(chosen, np.cumsum(chosen, dtype=np.int32) - 1, -1), length)
+        x[row[row >= 0], at[row >= 0]] = 1
+        return x
+
+    w, b = train(presence(p), presence(u), prior)
     return ToxicityModel(dict(zip(names, w.astype(float).tolist(), strict=True)), b)
 
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 
+from lenstrail.llm import common
 from lenstrail.llm import ngram_join as N
 
 
@@ -138,3 +139,43 @@ def test_pairs_at_the_threshold_are_hardly_ever_dropped():
         at = n
         alive[:least] = 0
     assert 1 - alive.sum() < 1e-5
+
+
+def tasks_of(spark, work):
+    """Result of `work`, and how many tasks its jobs had."""
+    group = f"tasks-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted by a test")
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    return out, sum(i.numCompletedTasks for i in infos if i)
+
+
+def test_rounds_over_few_links_need_few_tasks(spark, monkeypatch):
+    chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)]
+    edges = spark.createDataFrame(chain, "a long, b long")
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        got, tasks = tasks_of(spark, lambda: {r.id: r.component for r in common.components(edges).collect()})
+        monkeypatch.setattr(common, "MAX_BROADCAST", 0)  # minima by a shuffle: the same components
+        shuffled = {r.id: r.component for r in common.components(edges).collect()}
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert got == shuffled == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
+    assert tasks < 600, tasks
+
+
+def test_blocks_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    rows = corpus(9)
+    monkeypatch.setattr(N, "BLOCK", 4)
+    check(spark, rows)
+    monkeypatch.setattr(common, "MAX_BROADCAST", 0)
+    check(spark, rows)
