@@ -11,7 +11,8 @@ whole corpus do not fit one sort, so the work is dealt out by content first:
 3. What is left - different stretches around one minimizer, at the ends of repeats - is sorted
    as suffixes: those smaller than their successors directly, the others induced by a scan
    over the buckets of first bytes; adjacent common prefixes of GRAM bytes or more mark
-   equal grams, of which the first in corpus order stays.
+   equal grams, of which the first in corpus order stays.  Of the grams of a crowded minimizer
+   only the first of its kind in a task goes on, so no string, however common, meets in one sort.
 4. The repeats return to their documents.
 
 Groups are sized from the bytes of the input, and rows travel as packed binary columns.
@@ -23,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ from lenstrail.sources.tables import cut_lineage
 GRAM = 100
 SEED = 32
 WINDOW = GRAM - SEED + 1
-HOT = 4096  # different stretches around one minimizer above which their grams part
+HOT = 1 << 16  # different stretches around one minimizer above which their grams part
+ONE_SORT = 1 << 20  # bytes; a suffix sort takes about a hundred times the memory of its bytes
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -247,6 +250,50 @@ def repeated_grams(strings: list[bytes], rank: list[tuple]) -> list[np.ndarray]:
     return np.split(offset[o], cuts)
 
 
+def crowded_grams(strings: list[bytes], rank: list[tuple]) -> list[np.ndarray]:
+    """As `repeated_grams`, for more bytes than one sort takes: grams are grouped by hash and compared in full.
+
+    Holds 16 bytes a gram; most grams around a crowded minimizer are alone with their hash.
+    """
+    by_rank = sorted(range(len(strings)), key=lambda k: rank[k])
+    data = np.frombuffer(b"".join(strings[k] for k in by_rank), np.uint8)
+    ends = np.cumsum([len(strings[k]) for k in by_rank])
+    hashes, places = [], []
+    for low in range(0, len(data) - GRAM + 1, ONE_SORT):
+        h = mixed(gram_hashes(_BYTES[data[low : low + ONE_SORT + GRAM - 1]], GRAM))
+        at = np.arange(low, low + len(h))
+        inside = at + GRAM <= ends[np.searchsorted(ends, at, side="right")]
+        hashes.append(h[inside])
+        places.append(at[inside])
+    h, at = np.concatenate(hashes), np.concatenate(places)
+    o = np.argsort(h, kind="stable")  # places of one hash stay in order of rank
+    h, at = h[o], at[o]
+    again = np.flatnonzero(h[1:] == h[:-1]) + 1
+    grams = np.lib.stride_tricks.sliding_window_view(data, GRAM)
+    step = max(1, ONE_SORT // GRAM)
+    unequal = [(grams[at[a]] != grams[at[a - 1]]).any(axis=1) for a in np.split(again, range(step, len(again), step))]
+    found = at[again]
+    odd = np.unique(h[again[np.concatenate(unequal)]])
+    if len(odd):  # different grams of one hash
+        found = [found[~np.isin(h[again], odd)]]
+        for low in np.searchsorted(h, odd).tolist():
+            seen: set[bytes] = set()
+            for k in at[low : np.searchsorted(h, h[low], side="right")].tolist():
+                gram = data[k : k + GRAM].tobytes()
+                if gram in seen:
+                    found.append(np.array([k]))
+                seen.add(gram)
+        found = np.concatenate(found)
+    found = np.sort(found)
+    owner = np.searchsorted(ends, found, side="right")
+    starts = np.concatenate(([0], ends[:-1]))
+    parts = np.split(found - starts[owner], np.searchsorted(owner, np.arange(1, len(strings))))
+    out: list[np.ndarray] = [parts[0]] * len(strings)
+    for k, part in zip(by_rank, parts, strict=True):
+        out[k] = part
+    return out
+
+
 # Packed columns ------------------------------------------------------------------------
 
 PLACE = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<u4"), ("count", "<u4"), ("kind", "u1")])
@@ -295,6 +342,17 @@ def _home(doc: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return (mixed(doc.astype(np.uint64) ^ mixed(text.astype(np.uint64))) % _U(n)).astype(np.int32)
 
 
+def _runs(doc: np.ndarray, text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Single grams as runs (doc, text, start, count, REPEAT)."""
+    o = np.lexsort((at, text, doc))
+    doc, text, at = doc[o], text[o], at[o].astype(np.int64)
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(new)
+    count = np.diff(np.concatenate((first, [len(at)])))
+    return [doc[first], text[first], at[first].astype("<u4"), count.astype("<u4"), np.full(len(first), REPEAT, np.uint8)]
+
+
 def _first_of(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Columns in order of (minimizer, bytes, doc, text, start), and which are first of their bytes."""
     key, whole, doc, text, start = columns[:5]
@@ -324,7 +382,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     added = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     docs = short_batches(docs).select(*[c for c in docs.columns if c not in added])
     n = buckets_for(text_bytes(docs))
-    n_sorts = 4 * n  # a suffix sort takes many times the memory of its bytes
+    n_sorts = 4 * n
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.col("text").cast("string").alias("text")
     )
@@ -379,41 +437,69 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     def gather(key, left: pa.Table, right: pa.Table) -> pa.Table:
         """Bytes of the stretches to sort, dealt by minimizer; right: places, left: texts."""
-        doc, text, start, count, kind = unpacked(right.column("blob").to_pylist(), HOME)
-        ask = kind != REPEAT
-        doc, text, start, count, kind = (c[ask] for c in (doc, text, start, count, kind))
+        columns = unpacked(right.column("blob").to_pylist(), HOME)
+        ask = columns[4] != REPEAT
+        doc, text, start, count, kind = (c[ask] for c in columns)
+        order = np.lexsort((start, text, doc))
         texts = _by_key(left)
-        rows: dict[str, list] = {c: [] for c in ("bucket", "doc", "key", "start", "bytes")}
-        for d, t, s, c, k in zip(doc.tolist(), text.tolist(), start.tolist(), count.tolist(), kind.tolist(), strict=True):
+        rows: dict[str, list] = {c: [] for c in ASK.names}
+        seen: set[bytes] = set()
+        again: list[tuple[int, int, int]] = []
+        for d, t, s, c, k in zip(*(x[order].tolist() for x in (doc, text, start, count, kind)), strict=True):
             data = texts[d, t]
             piece = data[s : s + c + GRAM - 1]
             x = _BYTES[np.frombuffer(piece, np.uint8)]
             if k == SORT:
-                where = [(int(mixed(gram_hashes(x, SEED)).min() % _U(n_sorts)), s, piece)]
+                where = [(int(mixed(gram_hashes(x, SEED)).min()), s, piece)]
             else:  # grams of a crowded minimizer part, each to the place of its own hash
-                h = mixed(gram_hashes(x, GRAM)) % _U(n_sorts)
-                where = [(int(h[i]), s + i, piece[i : i + GRAM]) for i in range(c)]
-            for b, at, raw in where:
-                for name, value in zip(rows, (b, d, t, at, raw), strict=True):
+                where = []
+                for i, h in enumerate(mixed(gram_hashes(x, GRAM)).tolist()):
+                    gram = piece[i : i + GRAM]
+                    if gram in seen:  # the first in this task stands for it
+                        again.append((d, t, s + i))
+                    else:
+                        seen.add(gram)
+                        where.append((h, s + i, gram))
+            for part, at, raw in where:
+                for name, value in zip(rows, (part % n_sorts, part, d, t, at, raw), strict=True):
                     rows[name].append(value)
+        if again:
+            runs = _runs(*(np.array(c, np.int64) for c in zip(*again, strict=True)))
+            for name, value in zip(rows, (n_sorts + key[0].as_py(), 0, 0, 0, 0, packed(runs)), strict=True):
+                rows[name].append(value)
+        rows["part"] = np.array(rows["part"], np.uint64).view(np.int64)
         return pa.Table.from_pydict(rows, schema=ASK)
 
-    ASK = pa.schema([("bucket", pa.int32()), ("doc", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
+    ASK = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("doc", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
 
     def settle(table: pa.Table) -> pa.Table:
-        doc, key, start = (table.column(c).to_pylist() for c in ("doc", "key", "start"))
-        strings = table.column("bytes").to_pylist()
-        repeats = repeated_grams(strings, list(zip(doc, key, start, strict=True)))
-        n_each = [len(r) for r in repeats]
-        at = np.concatenate(repeats) + np.repeat(start, n_each) if sum(n_each) else np.zeros(0, np.int64)
-        d, t = np.repeat(np.array(doc, np.int64), n_each), np.repeat(np.array(key, np.int64), n_each)
-        o = np.lexsort((at, t, d))
-        d, t, at = d[o], t[o], at[o].astype(np.int64)
-        new = np.ones(len(at), bool)
-        new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (at[1:] != at[:-1] + 1)
-        first = np.flatnonzero(new)
-        count = np.diff(np.concatenate((first, [len(at)])))
-        out = [d[first], t[first], at[first].astype("<u4"), count.astype("<u4"), np.full(len(first), REPEAT, np.uint8)]
+        bucket = table.column("bucket")[0].as_py()
+        if bucket >= n_sorts:  # repeats found in a task, on their way to their documents
+            return pa.Table.from_pydict({"bucket": pa.array([bucket - n_sorts] * table.num_rows, pa.int32()), "blob": table.column("bytes")})
+        part = table.column("part").to_numpy()
+        lengths = pc.binary_length(table.column("bytes")).to_numpy()
+        order = np.argsort(part, kind="stable")
+        edge = np.concatenate(([True], np.diff(part[order]) != 0, [True]))
+        alone = edge[:-1] & edge[1:] & (lengths[order] == GRAM)  # a gram without another of its hash
+        order = order[~alone]
+        # Equal grams lie in one part, so parts are sorted by themselves, some at a time.
+        before = np.concatenate(([0], np.cumsum(lengths[order])))
+        starts = np.flatnonzero(np.diff(part[order], prepend=part[order][:1] - 1) != 0).tolist()
+        cuts = [0]
+        for at, end in zip(starts, [*starts[1:], len(order)], strict=False):
+            if at > cuts[-1] and before[end] - before[cuts[-1]] > ONE_SORT:
+                cuts.append(at)
+        found: list[tuple] = []
+        for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            some = table.take(pa.array(order[low:high]))
+            doc, key, start = (some.column(c).to_numpy() for c in ("doc", "key", "start"))
+            how = crowded_grams if before[high] - before[low] > ONE_SORT else repeated_grams
+            repeats = how(some.column("bytes").to_pylist(), list(zip(doc.tolist(), key.tolist(), start.tolist(), strict=True)))
+            n_each = [len(r) for r in repeats]
+            if sum(n_each):
+                found.append((np.repeat(doc, n_each), np.repeat(key, n_each), np.concatenate(repeats) + np.repeat(start, n_each)))
+        none = np.zeros(0, np.int64)
+        out = _runs(*(np.concatenate(c) for c in zip(*found, strict=True))) if found else _runs(none, none, none)
         return pa.Table.from_batches([dealt(out, _home(out[0], out[1], n))])
 
     def bundle(batches):
@@ -440,7 +526,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     settled = (
         bundles(docs.select("doc_id", "text"))
         .cogroup(places.groupBy("bucket"))
-        .applyInArrow(gather, "bucket int, doc long, key long, start long, bytes binary")
+        .applyInArrow(gather, "bucket int, part long, doc long, key long, start long, bytes binary")
         .groupBy("bucket")
         .applyInArrow(settle, "bucket int, blob binary")
     )

@@ -73,6 +73,47 @@ def test_crowded_minimizers_part(spark, monkeypatch):
         assert tuple(r)[1:] == want[r.doc_id, texts[r.doc_id]]
 
 
+def test_a_crowded_string_does_not_meet_in_one_sort(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "HOT", 2)
+    sort, log = S.repeated_grams, str(tmp_path / "sorted")
+
+    def logged(strings, rank):
+        with open(log, "a") as f:
+            f.write(f"{sum(map(len, strings))}\n")
+        return sort(strings, rank)
+
+    monkeypatch.setattr(S, "ONE_SORT", 8_000, raising=False)
+    monkeypatch.setattr(S, "repeated_grams", logged)
+    rng = random.Random(7)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = say(180)
+    rows = [(i, say(60) + line + say(60)) for i in range(400)]
+    got = S.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want, texts = brute(rows), dict(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:] == want[r.doc_id, texts[r.doc_id]]
+    with open(log) as f:
+        assert max(map(int, f)) <= 8_000  # all copies of one string have 40 000 bytes
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_more_bytes_than_one_sort_takes(monkeypatch, collide):
+    monkeypatch.setattr(S, "ONE_SORT", 700)
+    if collide:
+        mixed = S.mixed
+        monkeypatch.setattr(S, "mixed", lambda x: mixed(x) % np.uint64(40))
+    rng = random.Random(11)
+    say = lambda n: bytes(rng.choice(b"abc") for _ in range(n))
+    line = say(130)
+    strings = [say(rng.randint(0, 90)) + line[rng.randint(0, 25) :] + say(rng.randint(0, 90)) for _ in range(60)]
+    strings += [b"ab" * 90, b"ab" * 70, line, say(100)]
+    rank = [(rng.randint(0, 5), i, 0) for i in range(len(strings))]
+    got = S.crowded_grams(strings, rank)
+    want = S.repeated_grams(strings, rank)
+    assert [g.tolist() for g in got] == [sorted(w.tolist()) for w in want]
+
+
 def test_edge_rows_and_columns(spark):
     long = "x1y2" * 60
     rows = [(1, None, "a"), (2, "", "b"), (None, long, "c"), (3, long, None), (3, long, "twice"), (4, long + "!", "d")]
