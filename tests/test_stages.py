@@ -1,9 +1,12 @@
+import gzip
+import json
 import os
 import shutil
 import threading
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from lenstrail.plans import stages
 from lenstrail.sources.tables import file_listing, shared_folder
@@ -56,3 +59,29 @@ def test_listing(spark, tmp_path):
     (tmp_path / "d" / "a").write_text("xy")
     ((name, length, _),) = file_listing(spark, str(tmp_path / "d"))
     assert name.endswith("/d/a") and length == 2
+
+
+def test_json_forms_are_compressed_and_arrays_hold_every_record(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stages, "RECORDS_A_FILE", 7)
+    raw = spark.range(60).select(
+        F.col("id").cast("string").alias("id"), F.lit("2010-01-01 00:00:00").alias("dateTaken"), F.lit("a}b").alias("title"),
+        F.struct(F.lit(41.9).alias("latitude"), F.lit(12.5).alias("longitude")).alias("geoData"),
+    )
+    raw.union(raw.limit(3)).repartition(4).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    for form, write in stages._FORMS.items():
+        write(raw, str(tmp_path / form))
+        names = [os.path.join(d, f) for d, _, names in os.walk(tmp_path / form) for f in names if f.startswith("part-")]
+        assert names and all(n.endswith(".gz") for n in names), form
+    arrays = []
+    for name in tmp_path.glob("json_array/**/part-*"):
+        text = gzip.decompress(name.read_bytes()).decode()
+        assert "\n" not in text
+        arrays.append(json.loads(text))
+    assert max(map(len, arrays)) <= 7
+    want = sorted(json.dumps(r.asDict(recursive=True), sort_keys=True) for r in raw.collect())
+    assert sorted(json.dumps(r, sort_keys=True) for a in arrays for r in a) == want
+    none = str(tmp_path / "none")
+    stages._write_arrays(raw.limit(0), none)
+    assert spark.read.text(none).count() == 0
+
