@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lenstrail.config import ROIS, Roi
-from lenstrail.operators import enrich
+from lenstrail.operators import cells, enrich
 from lenstrail.operators.cells import box_cells
 from lenstrail.sources.tables import roi_table
 
@@ -88,6 +88,32 @@ def test_boxes_of_all_sizes(spark, seed, options):
     assert {r["photo_id"]: r["roi"] for r in got.collect()} == {str(i): by_hand(lat, lon, rois) for i, (lat, lon) in enumerate(values)}
 
 
+@pytest.mark.parametrize("options", [{}])
+@pytest.mark.parametrize("most", [16, 1])
+def test_overlapping_boxes_leave_short_lists(spark, monkeypatch, options, most):
+    monkeypatch.setattr(cells, "MOST", most, raising=False)
+    lengths, cut = [], cells.cut_lineage
+
+    def watched(df):
+        out = cut(df)
+        if "boxes" in out.columns:
+            lengths.append(out.agg(F.max(F.size("boxes"))).first()[0])
+        return out
+
+    monkeypatch.setattr(cells, "cut_lineage", watched)
+    rnd = random.Random(3)
+    rois = []
+    for i in range(1500):
+        side, lat, lon = 0.2 / 2 ** rnd.randrange(6), rnd.uniform(41.0, 41.3), rnd.uniform(12.0, 12.3)
+        rois.append(Roi(f"r{i}", lat, lat + side, lon, lon + side * rnd.randint(1, 3)))
+    rois += [Roi(f"same{i}", 41.35, 41.45, 12.35, 12.45) for i in range(300)]
+    values = [(r.lat_min, r.lon_max) for r in rois[::20]] + [(r.lat_max, r.lon_min) for r in rois[7::20]]
+    values += [(rnd.uniform(40.9, 41.6), rnd.uniform(11.9, 12.6)) for _ in range(300)] + [(None, 12.1)]
+    got = enrich.enrich_roi(points(spark, values), rois, strategy="grid", **options)
+    assert {r["photo_id"]: r["roi"] for r in got.collect()} == {str(i): by_hand(lat, lon, rois) for i, (lat, lon) in enumerate(values)}
+    assert len(lengths) == 1 and lengths[0] <= 100  # 300 and more before
+
+
 def test_a_box_lies_in_few_cells(spark):
     boxes = roi_table(spark, random_boxes(300, 1))
     filed = box_cells(boxes).select(F.explode("boxes.roi").alias("roi")).groupBy("roi").count()
