@@ -88,7 +88,7 @@ def test_boxes_of_all_sizes(spark, seed, options):
     assert {r["photo_id"]: r["roi"] for r in got.collect()} == {str(i): by_hand(lat, lon, rois) for i, (lat, lon) in enumerate(values)}
 
 
-@pytest.mark.parametrize("options", [{}])
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_cells": 0, "busy": 30}])
 @pytest.mark.parametrize("most", [16, 1])
 def test_overlapping_boxes_leave_short_lists(spark, monkeypatch, options, most):
     monkeypatch.setattr(cells, "MOST", most, raising=False)
