@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from lenstrail.llm import suffix_dedup as S
 
 GRAM = S.GRAM
@@ -97,6 +98,27 @@ def test_a_crowded_string_does_not_meet_in_one_sort(spark, tmp_path, monkeypatch
         assert max(map(int, f)) <= 8_000  # all copies of one string have 40 000 bytes
 
 
+def test_the_pipeline_stage_cuts_a_crowded_line_in_small_sorts(spark, tmp_path, monkeypatch):
+    sort, log = S.repeated_grams, str(tmp_path / "sorted")
+
+    def logged(strings, rank):
+        with open(log, "a") as f:
+            f.write(f"{sum(map(len, strings))}\n")
+        return sort(strings, rank)
+
+    monkeypatch.setattr(S, "HOT", 2)
+    monkeypatch.setattr(S, "ONE_SORT", 8_000, raising=False)
+    monkeypatch.setattr(S, "repeated_grams", logged)
+    line = "".join(random.Random(2).choice("abcdefgh ") for _ in range(180))
+    rows = [(i, hashlib.sha256(b"%d" % i).hexdigest() + line + hashlib.sha256(b"-%d" % i).hexdigest()) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, texts = brute(rows), dict(rows)
+    for r in corpus_pipeline.cut_repeats(spark, docs, "").collect():
+        assert hashlib.sha256(r.text.encode()).hexdigest() == want[r.doc_id, texts[r.doc_id]][3]
+    with open(log) as f:
+        assert max(map(int, f)) <= 8_000
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_more_bytes_than_one_sort_takes(monkeypatch, collide):
     monkeypatch.setattr(S, "ONE_SORT", 700)
